@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 16
 
 
@@ -16,19 +16,21 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "left",
     bound: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    row_bytes: int = 64,
 ) -> DataFrame:
     """Add the columns of ``dim`` (unique on ``on``) to ``facts``.
 
     ``dim`` is broadcast only when it is small: its row count is ``bound`` if
-    the caller knows one, else it is counted. A larger ``dim`` is shuffled,
+    the caller knows one, else it is counted; ``row_bytes`` is the size of a
+    row. A larger ``dim`` is shuffled,
     each of its rows to ``SALTS`` partitions, so that a hot key in ``facts``
     is spread over as many tasks.
     """
     on = [on] if isinstance(on, str) else list(on)
+    most = BROADCAST_BYTES // row_bytes
     if bound is None:
-        bound = dim.limit(broadcast_rows + 1).count()
-    if bound <= broadcast_rows:
+        bound = dim.limit(most + 1).count()
+    if bound <= most:
         return facts.join(F.broadcast(dim), on, how)
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
     salted = dim.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))

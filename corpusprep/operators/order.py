@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
+from corpusprep.functions.arrays import search_sorted
 from corpusprep.session import stage
 
 ROWS_PER_BUCKET = 250_000
@@ -62,13 +63,7 @@ def bucket_of(key: Column, bounds: Sequence[int]) -> Column:
             # 64-bit ids can overflow a difference, so subtract as double.
             cell = F.floor((key.cast("double") - F.lit(float(bounds[0]))) / F.lit(float(width))) + 1
             return F.greatest(F.lit(0), F.least(F.lit(n), cell)).cast("int")
-    literal = _array("bigint", bounds)
-    steps = F.array(*[F.lit(1 << i) for i in range(n.bit_length() - 1, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, jump: F.when(F.get(literal, at + jump - 1) <= key, at + jump).otherwise(at),
-    )
+    return search_sorted(_array("bigint", bounds), key, n)
 
 
 def hash_bucket(digest: Column, digits: int = 3) -> Column:
