@@ -92,8 +92,11 @@ def add_vectors(left: Column, right: Column) -> Column:
 def search_sorted(values: Column, key: Column, max_size: int = 1 << 30) -> Column:
     """How many of the ascending ``values`` are at most ``key``; a binary search."""
     jumps = F.array(*[F.lit(1 << i) for i in range(max_size.bit_length() - 1, -1, -1)])
-    return F.aggregate(
-        jumps,
-        F.lit(0),
-        lambda at, jump: F.when(F.get(values, at + jump - 1) <= key, at + jump).otherwise(at),
+    return bind(
+        key,
+        lambda sought: F.aggregate(
+            jumps,
+            F.lit(0),
+            lambda at, jump: F.when(F.get(values, at + jump - 1) <= sought, at + jump).otherwise(at),
+        ),
     )

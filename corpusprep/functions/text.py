@@ -26,10 +26,8 @@ def count_words(text: Column) -> Column:
 
 def byte_ids(text: Column) -> Column:
     """UTF-8 byte values of the text, as token ids 0-255."""
-    digits = F.hex(F.encode(text, "UTF-8"))
-    places = F.sequence(F.lit(0), F.shiftright(F.length(digits), 1) - 1)
-    values = F.transform(places, lambda i: F.conv(F.substr(digits, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int"))
-    return F.when(F.length(text) > 0, values).otherwise(F.array().cast("array<int>"))
+    pairs = F.regexp_extract_all(F.hex(F.encode(text, "UTF-8")), F.lit("[0-9A-F]{2}"), F.lit(0))
+    return F.transform(pairs, lambda pair: F.conv(pair, 16, 10).cast("int"))
 
 
 def byte_len(text: Column) -> Column:

@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusprep.functions.arrays import search_sorted, stop_at_eos
 from corpusprep.functions.sampling import uniform
-from corpusprep.operators.lookup import lookup_join
+from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
 from corpusprep.operators.loss import shift_tokens
 from corpusprep.session import stage
 
 STEPS_PER_STAGE = 10
+HOT_SHARE = 1_000  # a token is hot when it makes up more than 1 in so many
+LEAST_CHUNKS = 16
+CHUNK_SIZE = 256
+FOLLOWER_BYTES = 40
 
 
 def pair_counts(df: DataFrame, ids: Column) -> DataFrame:
@@ -79,11 +83,12 @@ def greedy_paths(pairs: DataFrame, n: int) -> DataFrame:
     The work depends on the vocabulary only, not on how many prompts there are.
     """
     paths = stage(successors(pairs).select(F.col("prev").alias("state"), F.array("next").alias("path")), "paths")
+    states = paths.count()
     reach = 1
     while reach < n:
         more = paths.select(F.col("state").alias("__end"), F.col("path").alias("__more"))
         ends = paths.withColumn("__end", F.element_at("path", -1))
-        grown = lookup_join(ends, more, "__end", row_bytes=64 + 16 * reach).select(
+        grown = lookup_join(ends, more, "__end", bound=states, row_bytes=64 + 16 * reach).select(
             "state", F.when(F.col("__more").isNull(), F.col("path")).otherwise(F.concat("path", "__more")).alias("path")
         )
         reach *= 2
@@ -104,17 +109,43 @@ def generate_greedy(prompts: DataFrame, ids: Column, pairs: DataFrame, n: int, e
     )
 
 
-def draw_table(pairs: DataFrame, temperature: float) -> DataFrame:
-    """``(state, nexts, edges)``: followers of a token and their cumulative weights.
+def draw_tables(pairs: DataFrame, temperature: float) -> tuple[DataFrame, DataFrame]:
+    """``(state, total, chunks)`` and ``(state, chunk, nexts, edges)``.
 
-    A group holds the distinct followers of one token, at most the vocabulary.
+    The followers of a token lie end to end, each as long as its weight, and
+    that line is cut into equally long chunks. A draw lands in every chunk
+    equally often, so the chunks spread a token that many draws start from;
+    tokens that are frequent get several even when few tokens follow them.
     """
-    along = W.partitionBy("prev").orderBy("next").rowsBetween(W.unboundedPreceding, W.currentRow)
-    weighted = pairs.withColumn("edge", F.sum(F.pow("n", F.lit(1.0 / temperature))).over(along))
+    along = W.partitionBy("prev").orderBy("next")
+    weight = F.pow("n", F.lit(1.0 / temperature))
+    edges = pairs.select(
+        F.col("prev").alias("state"),
+        "next",
+        "n",
+        F.sum(weight).over(along.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("edge"),
+        F.coalesce(F.sum(weight).over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)).alias("low"),
+    )
+    hot = F.sum("n") * HOT_SHARE > pairs.agg(F.sum("n")).scalar()
+    spread = F.when(hot, LEAST_CHUNKS).otherwise(1)
+    states = edges.groupBy("state").agg(
+        F.max("edge").alias("total"),
+        F.greatest(spread, F.ceil(F.count(F.lit(1)) / CHUNK_SIZE).cast("int")).alias("chunks"),
+    )
+    placed = edges.join(states, "state")
+    cover = F.sequence(chunk_of(F.col("low")), chunk_of(F.col("edge")))
     rows = F.array_sort(F.collect_list(F.struct("edge", "next")))
-    return weighted.groupBy(F.col("prev").alias("state")).agg(rows.alias("rows")).select(
-        "state", F.col("rows.next").alias("nexts"), F.col("rows.edge").alias("edges")
+    chunks = (
+        placed.select("state", "next", "edge", F.explode(cover).alias("chunk"))
+        .groupBy("state", "chunk")
+        .agg(rows.alias("rows"))
+        .select("state", "chunk", F.col("rows.next").alias("nexts"), F.col("rows.edge").alias("edges"))
     )
+    return states, chunks
+
+
+def chunk_of(target: Column) -> Column:
+    return F.least(F.floor(target / (F.col("total") / F.col("chunks"))), F.col("chunks") - 1).cast("int")
 
 
 def generate_sampled(
@@ -125,16 +156,20 @@ def generate_sampled(
     Prompts advance together, one join per token; lineage is cut by a staged
     table every few tokens.
     """
-    table = stage(draw_table(pairs, temperature), "draws")
-    followers = table.agg(F.coalesce(F.sum(F.size("nexts")), F.lit(0))).first()[0]
-    kind = table.schema["nexts"].dataType
+    states, chunks = (stage(table, "draws") for table in draw_tables(pairs, temperature))
+    n_states = states.count()
+    n_followers = chunks.agg(F.coalesce(F.sum(F.size("nexts")), F.lit(0))).first()[0]
+    fits = n_followers * FOLLOWER_BYTES <= BROADCAST_BYTES
+    kind = chunks.schema["nexts"].dataType
     state = prompts.select(
         key, F.try_element_at(ids, F.lit(-1)).alias("state"), F.array().cast(kind).alias("generated")
     )
     for step in range(n):
-        joined = lookup_join(state, table, "state", bound=followers)
-        target = uniform(seed, F.lit(step), F.col(key)) * F.element_at("edges", -1)
-        drawn = F.get("nexts", F.least(search_sorted(F.col("edges"), target), F.size("nexts") - 1))
+        aimed = lookup_join(state, states, "state", bound=n_states)
+        aimed = aimed.withColumn("target", uniform(seed, F.lit(step), F.col(key)) * F.col("total"))
+        aimed = aimed.withColumn("chunk", chunk_of(F.col("target")))
+        joined = aimed.join(F.broadcast(chunks) if fits else chunks, ["state", "chunk"], "left")
+        drawn = F.get("nexts", F.least(search_sorted(F.col("edges"), F.col("target")), F.size("nexts") - 1))
         taken = joined.withColumn("__next", drawn)
         state = taken.select(
             key,

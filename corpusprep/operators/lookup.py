@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 128 << 20
 SALTS = 16
 
 

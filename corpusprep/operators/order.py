@@ -78,7 +78,7 @@ def running(
     by: Sequence[str] = (),
     totals: Mapping[str, tuple[Column, str]] | None = None,
     bucket: Column | None = None,
-    keep_bucket: bool = False,
+    span: str | None = None,
     derive: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Exclusive running sums of ``sums`` along ``order``, restarted per ``by``.
@@ -88,6 +88,9 @@ def running(
     ``totals`` adds per-``by`` aggregates as ``name -> (aggregate, merge)`` with
     merge one of ``sum``, ``min``, ``max``.
 
+    ``span`` names a sum: ``__bucket`` is kept, and ``__low`` and ``__high`` are
+    that sum's value at the start and the end of the row's bucket.
+
     ``derive`` adds columns that ``sums`` may use and that are costly to
     compute or to move. Rows are then shuffled to their bucket as they are,
     and both the totals and the windows read that one shuffle.
@@ -115,6 +118,7 @@ def running(
         F.col(_KEY).alias("__k"),
         F.col(_BUCKET).alias("__b"),
         *[F.sum(f"__s_{n}").over(before).alias(f"__p_{n}") for n in sums],
+        *([F.col(f"__s_{span}").alias("__width")] if span else []),
         *[getattr(F, merge)(f"__t_{n}").over(whole).alias(n) for n, (_, merge) in totals.items()],
     )
     if not by:
@@ -124,10 +128,11 @@ def running(
     inside = W.partitionBy(_KEY, _BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = tagged.withColumns({f"__l_{n}": F.sum(c).over(inside) for n, c in sums.items()})
     joined = local.join(starts, (F.col(_KEY) == F.col("__k")) & (F.col(_BUCKET) == F.col("__b")))
+    low = F.coalesce(f"__p_{span}", F.lit(0)) if span else None
     kept = [c for c in [*df.columns, *(derive or {})] if c not in sums and c not in totals]
     return joined.select(
         *kept,
-        *([_KEY, _BUCKET] if keep_bucket else []),
+        *([_BUCKET, low.alias("__low"), (low + F.col("__width")).alias("__high")] if span else []),
         *[
             (F.coalesce(f"__l_{n}", F.lit(0)) + F.coalesce(f"__p_{n}", F.lit(0))).alias(n)
             for n in sums

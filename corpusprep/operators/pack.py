@@ -10,48 +10,20 @@ from corpusprep.operators.order import _BUCKET, running
 from corpusprep.operators.tokens import to_ids
 
 
-def _join_pieces(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pieces of a sequence laid end to end; a group holds at most one sequence of tokens."""
-    ordered = F.array_sort(F.collect_list(F.struct("at", "ids")))
-    return pieces.groupBy(*keys).agg(
-        F.min("at").alias("at"), F.flatten(F.transform(ordered, lambda p: p["ids"])).alias("ids")
-    )
-
-
-def _assemble(pieces: DataFrame, length: int) -> DataFrame:
-    """Sequences from pieces ``(bucket, seq_id, at, ids)``.
-
-    Pieces already sit with their bucket, so the first grouping moves no rows;
-    only the sequences that cross a bucket edge meet again across the cluster.
-    """
-    local = _join_pieces(pieces, [_BUCKET, "seq_id"])
-    full = local.filter(F.size("ids") == length).select("seq_id", "ids")
-    edges = _join_pieces(local.filter(F.size("ids") < length), ["seq_id"])
-    return full.unionByName(edges.filter(F.size("ids") == length).select("seq_id", "ids"))
-
-
 def _place(df: DataFrame, order: Sequence[str | Column], ids: Column, bucket: Column | None) -> DataFrame:
-    """``__ids`` of each row with ``__at``, their offset in the whole stream."""
+    """``__ids`` of each row with ``__at``, their offset in the whole stream, and the span of the row's bucket."""
     return running(
         df,
         order,
         {"__at": F.size("__ids").cast("bigint")},
         bucket=bucket,
-        keep_bucket=True,
+        span="__at",
         derive={"__ids": ids},
-    ).select(_BUCKET, "__at", "__ids")
+    ).select(_BUCKET, "__low", "__high", "__at", "__ids")
 
 
-def pack(
-    df: DataFrame, order: Sequence[str | Column], ids: Column, length: int, bucket: Column | None = None
-) -> DataFrame:
-    """``(seq_id, ids)``: the token arrays of all rows in order, cut every ``length`` tokens.
-
-    ``ids`` may be any array expression, such as the tokenization of a text.
-    What does not fill a row's last sequence is carried to the next row; the
-    final incomplete sequence is dropped.
-    """
-    placed = _place(df, order, ids, bucket)
+def _cut(placed: DataFrame, length: int) -> DataFrame:
+    """One row ``(…, seq_id, at, ids)`` for each sequence that a row's tokens reach into."""
     at, n, tokens = F.col("__at"), F.size("__ids").cast("bigint"), F.col("__ids")
     first, last = F.floor(at / length), F.floor((at + n - 1) / length)
 
@@ -65,7 +37,44 @@ def pack(
         )
 
     cuts = F.when(n > 0, F.transform(F.sequence(first, last), piece))
-    return _assemble(placed.select(_BUCKET, F.explode(cuts).alias("p")).select(_BUCKET, "p.*"), length)
+    return placed.select(_BUCKET, "__low", "__high", F.explode(cuts).alias("p")).select("*", "p.*").drop("p")
+
+
+def _join(pieces: DataFrame, keys: Sequence[str], length: int) -> DataFrame:
+    """Pieces of a sequence laid end to end; a group holds at most one sequence of tokens."""
+    ordered = F.array_sort(F.collect_list(F.struct("at", "ids")))
+    whole = pieces.groupBy(*keys).agg(F.flatten(F.transform(ordered, lambda p: p["ids"])).alias("ids"))
+    return whole.filter(F.size("ids") == length).select("seq_id", "ids")
+
+
+def _assemble(placed: DataFrame, length: int, look_up=lambda pieces: pieces) -> DataFrame:
+    """Sequences from placed rows.
+
+    Sequences inside a bucket are joined where the bucket lies, which moves no
+    rows. Only the pieces of sequences that cross a bucket edge, at most two
+    sequences for each bucket, meet across the cluster.
+    """
+    begin, end = F.col("seq_id") * length, (F.col("seq_id") + 1) * length
+    across = (begin < F.col("__low")) | (end > F.col("__high"))
+    inner_low = F.ceil(F.col("__low") / length) * length
+    inner_high = F.floor(F.col("__high") / length) * length
+    near_edge = (F.col("__at") < inner_low) | (F.col("__at") + F.size("__ids") > inner_high)
+
+    inside = look_up(_cut(placed, length).filter(~across))
+    edges = look_up(_cut(placed.filter(near_edge), length).filter(across))
+    return _join(inside, [_BUCKET, "seq_id"], length).unionByName(_join(edges, ["seq_id"], length))
+
+
+def pack(
+    df: DataFrame, order: Sequence[str | Column], ids: Column, length: int, bucket: Column | None = None
+) -> DataFrame:
+    """``(seq_id, ids)``: the token arrays of all rows in order, cut every ``length`` tokens.
+
+    ``ids`` may be any array expression, such as the tokenization of a text.
+    What does not fill a row's last sequence is carried to the next row; the
+    final incomplete sequence is dropped.
+    """
+    return _assemble(_place(df, order, ids, bucket), length)
 
 
 def pack_tokens(
@@ -78,10 +87,10 @@ def pack_tokens(
     bound: int | None = None,
 ) -> DataFrame:
     """``pack`` of token strings, looked up in ``vocab`` on the way."""
-    placed = _place(df, order, tokens, bucket)
-    exploded = placed.select(_BUCKET, "__at", F.posexplode("__ids").alias("k", "token"))
-    long = exploded.select(_BUCKET, (F.col("__at") + F.col("k")).alias("at"), "token")
-    pieces = to_ids(long, vocab, bound=bound).select(
-        _BUCKET, F.floor(F.col("at") / length).alias("seq_id"), "at", F.array("id").alias("ids")
-    )
-    return _assemble(pieces, length)
+
+    def look_up(pieces: DataFrame) -> DataFrame:
+        long = pieces.select(_BUCKET, "seq_id", "at", F.posexplode("ids").alias("k", "token"))
+        known = to_ids(long, vocab, bound=bound)
+        return known.select(_BUCKET, "seq_id", (F.col("at") + F.col("k")).alias("at"), F.array("id").alias("ids"))
+
+    return _assemble(_place(df, order, tokens, bucket), length, look_up)

@@ -35,7 +35,7 @@ from corpusprep.plans.common import (
     joined,
     lines,
     vocab,
-)
+)from corpusprep.sources.documents import read_table
 
 CONTEXT = 32
 NEW_TOKENS = 16
@@ -100,13 +100,13 @@ def decode_lines(spark, sf):
 
 
 def pack_sequences(spark, sf):
-    packed = pack(docs(spark, sf).select("doc_id", "text"), ["doc_id"], text_tokens(F.col("text")), SEQ_LEN)
+    packed = pack(read_table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"], text_tokens(F.col("text")), SEQ_LEN)
     return packed.select("seq_id", joined(F.col("ids")).alias("tokens"))
 
 
 def pack_token_ids(spark, sf):
     packed = pack_tokens(
-        docs(spark, sf).select("doc_id", "text"),
+        read_table(spark, sf, "documents").select("doc_id", "text"),
         ["doc_id"],
         text_tokens(F.col("text")),
         vocab(spark, sf),
