@@ -31,14 +31,14 @@ def _array(kind: str, values: Iterable[float]) -> Column:
     return F.expr(f"cast(split('{','.join(map(str, values))}', ',') as array<{kind}>)")
 
 
-def bucket_bounds(df: DataFrame, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
+def bucket_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None) -> list[int]:
     """Ascending lower bounds that cut ``key`` into buckets of similar row count.
 
     Reads the key column only; at most ``MAX_BUCKETS`` numbers come back.
     """
     keys = df.select(key.cast("bigint").alias("k"))
     floor = 4 * df.sparkSession.sparkContext.defaultParallelism
-    wanted = min(MAX_BUCKETS, max(floor, math.ceil(keys.count() / rows_per_bucket)))
+    wanted = min(MAX_BUCKETS, max(floor, math.ceil(keys.count() / (rows_per_bucket or ROWS_PER_BUCKET))))
     if wanted == 1:
         return []
     fractions = _array("double", (i / wanted for i in range(1, wanted)))
