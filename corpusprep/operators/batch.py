@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusprep.functions.text import byte_len
 from corpusprep.operators.order import global_index
@@ -22,8 +22,12 @@ def batch(
 ) -> DataFrame:
     """``batch_id`` and ``row_in_batch`` along ``order``; the incomplete last batch is dropped."""
     at = global_index(df, order, by=by, out="__at", total="__n", bucket=bucket)
+    return _batches(at, size)
+
+
+def _batches(df: DataFrame, size: int) -> DataFrame:
     return (
-        at.withColumns(
+        df.withColumns(
             {"batch_id": F.floor(F.col("__at") / size), "row_in_batch": (F.col("__at") % size).cast("int")}
         )
         .filter(F.col("batch_id") < F.floor(F.col("__n") / size))
@@ -31,6 +35,19 @@ def batch(
     )
 
 
+def leading_batches(df: DataFrame, order: Sequence[str | Column], size: int, n: int = EVAL_BATCHES) -> DataFrame:
+    """``head_batches(batch(df, order, size), n)`` by a distributed top-k: only ``n * size`` rows are moved."""
+    top = df.orderBy(*order).limit(n * size)
+    # At most n * size rows are left.
+    ranked = top.withColumns(
+        {
+            "__at": F.row_number().over(W.orderBy(*order)).cast("bigint") - 1,
+            "__n": F.count(F.lit(1)).over(W.partitionBy(F.lit(0))),
+        }
+    )
+    return _batches(ranked, size)
+
+
 def head_batches(df: DataFrame, n: int = EVAL_BATCHES) -> DataFrame:
     """The first ``n`` batches."""
     return df.filter(F.col("batch_id") < n)

@@ -9,6 +9,7 @@ rows however the keys are spread, and a hot key is cut into many buckets.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
@@ -17,13 +18,34 @@ from corpusprep.functions.arrays import search_sorted
 from corpusprep.session import stage
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 16_384
+MAX_BUCKETS = 65_536
+HOT_CUTS = 4  # a value that this many quantiles fall on is cut up further
+_LEVELS = 3
 _BUCKET, _KEY = "__bucket", "__key"
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a timestamp without time zone."""
-    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts)
+    """Microseconds since the epoch of a timestamp without time zone, whatever the session's zone."""
+    seconds = F.unix_date(F.to_date(ts)) * F.lit(86_400).cast("bigint") + F.hour(ts) * 3600 + F.minute(ts) * 60
+    fraction = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return seconds * 1_000_000 + fraction
+
+
+def _image(df: DataFrame, key: Column) -> Column | None:
+    """An integer that follows the order of ``key``; None for kinds that have none."""
+    kind = df.select(key).dtypes[0][1]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return key.cast("bigint")
+    if kind == "timestamp_ntz":
+        return micros(key)
+    if kind == "timestamp":
+        return F.unix_micros(key)
+    if kind == "date":
+        return F.unix_date(key).cast("bigint")
+    if kind == "string":
+        head = F.substring(F.rpad(F.hex(F.encode(key, "UTF-8")), 14, "0"), 1, 14)
+        return F.conv(head, 16, 10).cast("bigint")
+    return None
 
 
 def _array(kind: str, values: Iterable[float]) -> Column:
@@ -31,23 +53,27 @@ def _array(kind: str, values: Iterable[float]) -> Column:
     return F.expr(f"cast(split('{','.join(map(str, values))}', ',') as array<{kind}>)")
 
 
-def bucket_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None) -> list[int]:
-    """Ascending lower bounds that cut ``key`` into buckets of similar row count.
+def _quantiles(df: DataFrame, key: Column, rows_per_bucket: int | None) -> tuple[list[int], float]:
+    """Quantiles of ``key``, as many as buckets are wanted, and how many buckets its nulls would fill.
 
     Reads the key column only; at most ``MAX_BUCKETS`` numbers come back.
     """
     keys = df.select(key.cast("bigint").alias("k"))
+    n, known = keys.agg(F.count(F.lit(1)), F.count("k")).first()
     floor = 4 * df.sparkSession.sparkContext.defaultParallelism
-    wanted = min(MAX_BUCKETS, max(floor, math.ceil(keys.count() / (rows_per_bucket or ROWS_PER_BUCKET))))
-    if wanted == 1:
-        return []
+    wanted = min(MAX_BUCKETS, max(floor, math.ceil(n / (rows_per_bucket or ROWS_PER_BUCKET))))
     fractions = _array("double", (i / wanted for i in range(1, wanted)))
     cuts = keys.agg(F.percentile_approx("k", fractions, max(1_000, 8 * wanted))).first()[0]
-    return sorted(set(cuts or []))
+    return list(cuts or []), (n - known) / n * wanted if n else 0.0
+
+
+def bucket_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None) -> list[int]:
+    """Ascending lower bounds that cut ``key`` into buckets of similar row count."""
+    return sorted(set(_quantiles(df, key, rows_per_bucket)[0]))
 
 
 def bucket_of(key: Column, bounds: Sequence[int]) -> Column:
-    """Index of the bucket ``key`` falls into: how many bounds are <= key.
+    """Index of the bucket ``key`` falls into: how many bounds are <= key; nulls come first.
 
     Evenly spread bounds become plain arithmetic; others a binary search over
     a literal array.
@@ -62,11 +88,39 @@ def bucket_of(key: Column, bounds: Sequence[int]) -> Column:
         if min(gaps) >= width / 2 and max(gaps) <= 2 * width:
             # 64-bit ids can overflow a difference, so subtract as double.
             cell = F.floor((key.cast("double") - F.lit(float(bounds[0]))) / F.lit(float(width))) + 1
-            return F.greatest(F.lit(0), F.least(F.lit(n), cell)).cast("int")
+            return F.greatest(F.lit(0), F.least(F.lit(n), F.coalesce(cell, F.lit(0)))).cast("int")
     return search_sorted(_array("bigint", bounds), key, n)
 
 
-def hash_bucket(digest: Column, digits: int = 3) -> Column:
+def order_bucket(
+    df: DataFrame, order: Sequence[Column], rows_per_bucket: int | None = None, levels: int = _LEVELS
+) -> Column:
+    """A bucket that follows ``order`` and holds a bounded share of the rows.
+
+    Buckets are quantiles of the first entry. A value of it that spans several
+    quantiles (or null, where many rows have none) gets a bucket of its own,
+    which the next entry cuts further.
+    """
+    key = _image(df, order[0])
+    if key is None:
+        raise TypeError("order by an integral, time or string column first, or name a bucket")
+    cuts, nulls = _quantiles(df, key, rows_per_bucket)
+    seen = Counter(cuts)
+    hot = sorted(k for k, times in seen.items() if times >= HOT_CUTS)
+    null_hot = nulls >= HOT_CUTS
+    deeper = levels > 1 and len(order) > 1 and _image(df, order[1]) is not None
+    if not deeper or not (hot or null_hot):
+        return bucket_of(key, sorted(seen))
+    edges = sorted({*seen, *hot, *(k + 1 for k in hot if k < 2**63 - 1)})
+    base = F.when(key.isNull(), F.lit(0)).otherwise(bucket_of(key, edges) + 1).cast("bigint")
+    chosen = F.array_contains(_array("bigint", hot), key) if hot else F.lit(False)
+    chosen = F.when(key.isNull(), F.lit(null_hot)).otherwise(chosen)
+    inner = order_bucket(df.filter(chosen), order[1:], rows_per_bucket, levels - 1)
+    # A later level numbers its buckets below 2 ** 20, or below 2 ** 40 when it has levels itself.
+    return base * F.lit(1 << (20 * (levels - 1))) + F.when(chosen, inner.cast("bigint")).otherwise(F.lit(0))
+
+
+def hash_bucket(digest: Column, digits: int = 4) -> Column:
     """Bucket that follows the order of a hex digest: its first digits as a number."""
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("int")
 
@@ -80,11 +134,12 @@ def running(
     bucket: Column | None = None,
     span: str | None = None,
     derive: Mapping[str, Column] | None = None,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Exclusive running sums of ``sums`` along ``order``, restarted per ``by``.
 
-    ``order`` must identify a row (within ``by``). Its first entry must be
-    integral unless ``bucket`` names another order-following bucket.
+    ``order`` must identify a row (within ``by``). Its first entry must be an
+    integer, a time or a string unless ``bucket`` names an order-following bucket.
     ``totals`` adds per-``by`` aggregates as ``name -> (aggregate, merge)`` with
     merge one of ``sum``, ``min``, ``max``.
 
@@ -98,7 +153,7 @@ def running(
     totals = dict(totals or {})
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     if bucket is None:
-        bucket = bucket_of(order[0], bucket_bounds(df, order[0]))
+        bucket = order_bucket(df, order, rows_per_bucket)
     # A struct compares null-safely and keeps the partitioning usable by the join.
     key = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
     if derive:

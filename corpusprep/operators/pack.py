@@ -10,6 +10,9 @@ from corpusprep.operators.order import _BUCKET, running
 from corpusprep.operators.tokens import to_ids
 
 
+DOCS_PER_BUCKET = 20_000  # rows here are whole texts, so buckets hold fewer of them
+
+
 def _place(df: DataFrame, order: Sequence[str | Column], ids: Column, bucket: Column | None) -> DataFrame:
     """``__ids`` of each row with ``__at``, their offset in the whole stream, and the span of the row's bucket."""
     return running(
@@ -19,6 +22,7 @@ def _place(df: DataFrame, order: Sequence[str | Column], ids: Column, bucket: Co
         bucket=bucket,
         span="__at",
         derive={"__ids": ids},
+        rows_per_bucket=DOCS_PER_BUCKET,
     ).select(_BUCKET, "__low", "__high", "__at", "__ids")
 
 

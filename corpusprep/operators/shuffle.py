@@ -61,9 +61,10 @@ def repeat_epochs(
     Adds ``epoch``, ``step`` (over all epochs) and ``row_in_batch``; the
     incomplete last batch of an epoch is dropped.
     """
-    copies = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    mixed = shuffle(copies, ids, seed, F.col("epoch"), by=["epoch"])
     per_epoch = F.floor(df.agg(F.count(F.lit(1))).scalar() / batch_size)
+    copies = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    begun = copies.filter(F.col("epoch") * per_epoch < max_steps)
+    mixed = shuffle(begun, ids, seed, F.col("epoch"), by=["epoch"])
     in_epoch = F.floor(F.col("pos") / batch_size)
     return (
         mixed.filter(in_epoch < per_epoch)

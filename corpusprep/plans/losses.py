@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusprep.functions.arrays import cross_entropy, softmax
-from corpusprep.operators.batch import batch
+from corpusprep.operators.batch import leading_batches
 from corpusprep.operators.loss import eval_loss, masked_mean, mean_loss, pad_mask, perplexity, val_delta
 from corpusprep.operators.metrics import number_steps
 from corpusprep.operators.order import micros
@@ -35,7 +35,7 @@ def plain_mean_loss(spark, sf):
 
 
 def validation_loss(spark, sf):
-    batched = batch(_losses(spark, sf), ["vec_id"], EVAL_BATCH)
+    batched = leading_batches(_losses(spark, sf), ["vec_id"], EVAL_BATCH)
     return eval_loss(batched, "loss", "mask").select(r6(F.col("val_loss")).alias("val_loss"), "batches")
 
 
@@ -65,9 +65,10 @@ def delta(spark, sf):
         micros(F.col("ts")).alias("ts"),
         F.col("value").alias("loss"),
     )
-    steps = number_steps(log, by=["run", "event_type"]).withColumnRenamed("pos", "step")
-    val = steps.filter(F.col("event_type") == "purchase")
-    train = steps.filter(F.col("event_type") == "view")
+    val, train = (
+        number_steps(log.filter(F.col("event_type") == kind)).withColumnRenamed("pos", "step")
+        for kind in ("purchase", "view")
+    )
     return val_delta(val, train, ["run", "step"]).withColumn("delta", r6(F.col("delta")))
 
 

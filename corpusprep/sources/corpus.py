@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from corpusprep.functions.text import byte_len, is_blank, repair_utf8
@@ -36,27 +38,48 @@ def scan_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, block_no, block_start, size, id, line)`` of every line, bad bytes repaired.
+@dataclass
+class Corpus:
+    """``lines`` of all files, and how many files there are.
 
-    Files are in path order; ``(block_no, id)`` orders all lines. One pass over
-    the text measures the blocks; what it finds is one small row per block.
-    ``block_start`` is the byte offset of the block's first line in its file,
-    counting one byte for each line end.
+    ``lines`` holds ``(file, file_no, block_no, block_start, size, id, bytes, line)``;
+    ``file_no`` numbers the files in path order.
+    """
+
+    lines: DataFrame
+    n_files: int
+
+
+def read_corpus(spark: SparkSession, path: str) -> Corpus:
+    """Every line of a corpus, bad bytes repaired.
+
+    ``(block_no, id)`` orders all lines. One pass over the text measures the
+    blocks; what it finds is one small row per block. ``block_start`` is the
+    byte offset of the block's first line in its file, counting one byte for
+    each line end.
     """
     raw = scan_text(spark, path)
     measured = stage(
         raw.groupBy("file", "block").agg(F.sum(byte_len(F.col("value")) + 1).cast("bigint").alias("bytes")), "blocks"
     )
+    files = ranged_index(measured.select("file").distinct(), ["file"], "file_no")
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = ranged_index(measured, ["file", "block"], "block_no").select(
-        "file", "block", "block_no", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("block_start")
+    n_blocks, n_files = measured.count(), files.count()
+    numbered = lookup_join(
+        ranged_index(measured, ["file", "block"], "block_no"),
+        files,
+        "file",
+        "inner",
+        bound=n_files,
+        row_bytes=_BLOCK_ROW_BYTES,
     )
-    placed = lookup_join(
-        raw, blocks, ["file", "block"], "inner", bound=measured.count(), row_bytes=_BLOCK_ROW_BYTES
+    blocks = numbered.select(
+        "file", "file_no", "block", "block_no", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("block_start")
     )
-    return placed.select(
+    placed = lookup_join(raw, blocks, ["file", "block"], "inner", bound=n_blocks, row_bytes=_BLOCK_ROW_BYTES)
+    lines = placed.select(
         "file",
+        "file_no",
         "block_no",
         "block_start",
         "size",
@@ -64,6 +87,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
         byte_len(F.col("value")).alias("bytes"),
         repair_utf8(F.col("value")).alias("line"),
     )
+    return Corpus(lines, n_files)
 
 
 def with_byte_offsets(df: DataFrame) -> DataFrame:
@@ -77,21 +101,17 @@ def with_byte_offsets(df: DataFrame) -> DataFrame:
     )
 
 
-def split_by_file(df: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
+def split_by_file(corpus: Corpus, share: float = TRAIN_SHARE) -> DataFrame:
     """The first ``floor(share * n)`` files in path order are ``train``, the others ``val``."""
-    files = stage(df.groupBy("file").agg(F.min("block_no").alias("block_no")), "files")
-    n = files.count()
-    ranked = ranged_index(files.select("file"), ["file"], "rank")
-    train = F.when(F.col("rank") < int(n * share), "train").otherwise("val")
-    parts = ranked.select("file", train.alias("split"))
-    return lookup_join(df, parts, "file", "inner", bound=n, row_bytes=_BLOCK_ROW_BYTES)
-
-
-def split_corpus(df: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
-    """``split`` by files, or by bytes when the corpus is a single file."""
-    if df.select("file").distinct().limit(2).count() > 1:
-        return split_by_file(df, share)
-    return split_by_bytes(with_byte_offsets(df), share)
+    train = F.col("file_no") < int(corpus.n_files * share)
+    return corpus.lines.withColumn("split", F.when(train, "train").otherwise("val"))
+
+
+def split_corpus(corpus: Corpus, share: float = TRAIN_SHARE) -> DataFrame:
+    """Lines with their ``split``: by files, or by bytes when the corpus is a single file."""
+    if corpus.n_files > 1:
+        return split_by_file(corpus, share)
+    return split_by_bytes(with_byte_offsets(corpus.lines), share)
 
 
 def pack_corpus(df: DataFrame, ids: Column, length: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Running sums, positions and look-backs against plain loops, with hot keys and odd spreads."""
 
 import random
+from datetime import datetime
 from collections import defaultdict
 
 import pytest
@@ -50,6 +51,39 @@ def test_running_equals_loop(spark, monkeypatch, spread):
     assert all(r["n"] == count[r["run"]] for r in result.values())
 
 
+@pytest.mark.parametrize("second", ["int", "string", "timestamp_ntz"])
+@pytest.mark.parametrize("hot", [5, None, 2**63 - 1])
+def test_a_hot_first_key_is_cut_by_the_next(spark, second, hot):
+    rows = [(hot if i % 3 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k bigint, i bigint").withColumn(
+        "s",
+        {
+            "int": F.col("i").cast("int"),
+            "string": F.format_string("%06d", "i"),
+            "timestamp_ntz": F.timestamp_seconds(F.col("i") * 7).cast("timestamp_ntz"),
+        }[second],
+    )
+    bucket = O.order_bucket(df, [F.col("k"), F.col("s")], rows_per_bucket=50)
+    sizes = [r["count"] for r in df.groupBy(bucket).count().collect()]
+    assert max(sizes) <= 300
+    got = {r["i"]: r["pos"] for r in O.global_index(df, ["k", "s"]).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert got == {i: at for at, (_, i) in enumerate(order)}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_micros_in_any_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        text = "2024-03-10 02:30:07.123456"
+        got = spark.range(1).select(O.micros(F.lit(text).cast("timestamp_ntz"))).first()[0]
+        assert got == int(datetime.fromisoformat(text + "+00:00").timestamp()) * 10**6 + 123456
+        early = spark.range(1).select(O.micros(F.lit("1969-12-31 23:59:59.5").cast("timestamp_ntz"))).first()[0]
+        assert early == -500_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("partitions", ["1", "4", "37"])
 def test_index_does_not_depend_on_partitions(spark, partitions):
     old = spark.conf.get("spark.sql.shuffle.partitions")

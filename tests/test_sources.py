@@ -60,7 +60,8 @@ def in_order(df):
 def test_one_file_in_many_blocks(spark, tmp_path, small_blocks, final_newline):
     path = tmp_path / "one.txt"
     path.write_bytes(make_text(1, 300, final_newline))
-    lines = read_corpus(spark, str(path))
+    corpus = read_corpus(spark, str(path))
+    lines = corpus.lines
     assert lines.select("block_no").distinct().count() > 5
     raw = path.read_bytes().split(b"\n")
     raw = raw[:-1] if final_newline else raw
@@ -70,7 +71,7 @@ def test_one_file_in_many_blocks(spark, tmp_path, small_blocks, final_newline):
     for r, b in zip(located, raw):
         assert (r["start"], r["end"]) == (at, min(at + len(b) + 1, path.stat().st_size))
         at += len(b) + 1
-    split = split_corpus(lines)
+    split = split_corpus(corpus)
     train, val = split_by_reading(path)
     assert in_order(split.filter("split = 'train'")) == train
     assert in_order(split.filter("split = 'val'")) == val
@@ -118,7 +119,7 @@ def test_missing_corpus(spark, tmp_path):
 
 def test_empty_file(spark, tmp_path):
     (tmp_path / "e.txt").write_bytes(b"")
-    assert read_corpus(spark, str(tmp_path)).count() == 0
+    assert read_corpus(spark, str(tmp_path)).lines.count() == 0
 
 
 @pytest.mark.parametrize("kind", ["stream", "file"])
