@@ -35,6 +35,12 @@ def _batches(df: DataFrame, size: int) -> DataFrame:
     )
 
 
+def batch_at(df: DataFrame, pos: str, size: int) -> DataFrame:
+    """:func:`batch` for rows that carry their position already: moves nothing."""
+    n = df.agg(F.count(F.lit(1))).scalar()
+    return _batches(df.withColumns({"__at": F.col(pos), "__n": n}), size)
+
+
 def leading_batches(df: DataFrame, order: Sequence[str | Column], size: int, n: int = EVAL_BATCHES) -> DataFrame:
     """``head_batches(batch(df, order, size), n)`` by a distributed top-k: only ``n * size`` rows are moved."""
     top = df.orderBy(*order).limit(n * size)

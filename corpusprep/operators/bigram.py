@@ -6,10 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from corpusprep.functions.arrays import search_sorted, stop_at_eos
+from corpusprep.functions.arrays import inputs_of, labels_of, search_sorted, stop_at_eos
 from corpusprep.functions.sampling import uniform
 from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
-from corpusprep.operators.loss import shift_tokens
 from corpusprep.session import stage
 
 STEPS_PER_STAGE = 10
@@ -21,11 +20,9 @@ FOLLOWER_BYTES = 40
 
 def pair_counts(df: DataFrame, ids: Column) -> DataFrame:
     """``(prev, next, n)`` over all neighbouring tokens of a row."""
-    return (
-        shift_tokens(df, ids)
-        .groupBy(F.col("input").alias("prev"), F.col("label").alias("next"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = df.select(ids.alias("__ids"))
+    pairs = rows.select(F.inline(F.arrays_zip(inputs_of(F.col("__ids")), labels_of(F.col("__ids")))).alias("prev", "next"))
+    return pairs.groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -115,6 +116,44 @@ class Tokenizer(Protocol):
     def decode_batch(self, ids: list[list[int]]) -> list[str]: ...
 
 
+class JsonTokenizer:
+    """A trained tokenizer in the ``tokenizers`` JSON format; a missing pad token falls back to ``eos``."""
+
+    def __init__(self, text: str, eos: str = EOS, pad: str = "<pad>"):
+        self.text, self._inner = text, None
+        self.load()
+        self.eos_id = self._inner.token_to_id(eos)
+        pad_id = self._inner.token_to_id(pad)
+        self.pad_id = self.eos_id if pad_id is None else pad_id
+        self.vocab_size = self._inner.get_vocab_size()
+
+    @classmethod
+    def open(cls, path: str, fallback: str | None = None, **tokens: str) -> JsonTokenizer:
+        """From a file, or from the ``fallback`` file when the first cannot be read."""
+        try:
+            with open(path, encoding="utf-8") as file:
+                return cls(file.read(), **tokens)
+        except OSError:
+            if fallback is None:
+                raise
+            return cls.open(fallback, **tokens)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_inner": None}
+
+    def load(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
+        from tokenizers import Tokenizer as Inner
+
+        self._inner = self._inner or Inner.from_str(self.text)
+
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._inner.encode_batch(texts, add_special_tokens=False)]
+
+    def decode_batch(self, ids: list[list[int]]) -> list[str]:
+        return self._inner.decode_batch(ids, skip_special_tokens=True)
+
+
 def encode_with(tokenizer: Tokenizer, text: Column) -> Column:
     """Ids of a text column by a user's tokenizer, without special tokens."""
 

@@ -17,13 +17,14 @@ from corpusprep.operators.split import split_by_rank
 from corpusprep.operators.tokens import EOS, text_delta, text_tokens
 from corpusprep.plans.common import SEED, SQL_TOKENS, docs, joined, r6
 from corpusprep.session import stage
+from corpusprep.sources.documents import read_table, spread
 
 NEW_TOKENS = 8
 
 
 def _split(spark, sf, part):
-    rows = split_by_rank(docs(spark, sf), "doc_id")
-    return rows.filter(F.col("split") == part).select("doc_id", "text")
+    rows = split_by_rank(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return spread(rows.filter(F.col("split") == part), "doc_id")
 
 
 def bigram_fit(spark, sf):

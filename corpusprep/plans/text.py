@@ -63,7 +63,7 @@ def encode_bytes(spark, sf):
 
 
 def split_documents_by_rank(spark, sf):
-    return split_by_rank(docs(spark, sf), "doc_id").select("doc_id", "split")
+    return split_by_rank(read_table(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
 def split_lines_by_bytes(spark, sf):

@@ -45,21 +45,28 @@ def _batches(path: str, root: str) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class _ArrowFile(InputPartition):
+    file_no: int
     path: str
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, root: str, column: str):
-        self.root, self.column = root, column
+    def __init__(self, root: str, column: str, position: bool):
+        self.root, self.column, self.position = root, column, position
 
     def partitions(self) -> list[InputPartition]:
-        return [_ArrowFile(path) for path in arrow_files(self.root)]
+        return [_ArrowFile(i, path) for i, path in enumerate(arrow_files(self.root))]
 
     def read(self, partition: _ArrowFile) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
+        kind, row = pa.list_(pa.int64()), 0
         for batch in _batches(partition.path, self.root):
             ids = batch.column(batch.schema.get_field_index(self.column)).cast(kind)
-            yield pa.RecordBatch.from_arrays([ids], names=[self.column])
+            if not self.position:
+                yield pa.RecordBatch.from_arrays([ids], names=[self.column])
+                continue
+            n = len(ids)
+            place = [pa.array([partition.file_no] * n, pa.int32()), pa.array(range(row, row + n), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*place, ids], names=["file_no", "row_no", self.column])
+            row += n
 
 
 class ArrowStreamSource(DataSource):
@@ -72,18 +79,29 @@ class ArrowStreamSource(DataSource):
     def _column(self) -> str:
         return self.options.get("column", "input_ids")
 
+    def _position(self) -> bool:
+        return self.options.get("position", "false").lower() == "true"
+
     def schema(self) -> str:
-        return f"{self._column()} array<bigint>"
+        place = "file_no int, row_no bigint, " if self._position() else ""
+        return f"{place}{self._column()} array<bigint>"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], self._column())
+        return _Reader(self.options["path"], self._column(), self._position())
+
 
+def read_pretokenized(
+    spark: SparkSession, path: str, column: str = "input_ids", position: bool = False
+) -> DataFrame:
+    """``input_ids array<bigint>`` of all Arrow files of a folder.
 
-def read_pretokenized(spark: SparkSession, path: str, column: str = "input_ids") -> DataFrame:
-    """``input_ids array<bigint>`` of all Arrow files of a folder."""
+    With ``position``, ``file_no`` and ``row_no`` say where each row stands,
+    which identifies it for a shuffle.
+    """
     arrow_files(path)
     spark.dataSource.register(ArrowStreamSource)
-    return spark.read.format("arrow_stream").option("column", column).load(path)
+    reader = spark.read.format("arrow_stream").option("column", column).option("position", str(position))
+    return reader.load(path)
 
 
 def require_length(ids: Column, length: int) -> Column:

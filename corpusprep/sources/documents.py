@@ -9,14 +9,16 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def read_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """``documents``, spread over the cores when it is too small to fill them by itself.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan of whole texts, spread over the cores when it is too small to fill them by itself.
 
-    A table with more input splits than cores is left as it is, so only tables
-    of less than one split per core are ever moved.
+    A scan with at least one input split per core is left as it is, so no more
+    than one split per core is ever moved.
     """
-    docs = read_table(spark, directory, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() >= cores:
-        return docs
-    return docs.repartition(cores, "doc_id")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def read_documents(spark: SparkSession, directory: str) -> DataFrame:
+    """``documents``, spread over the cores."""
+    return spread(read_table(spark, directory, "documents"), "doc_id")

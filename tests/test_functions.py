@@ -11,7 +11,7 @@ from corpusprep.functions.sql import register_sql
 from corpusprep.operators.batch import accum_groups, assign_shards, estimate_steps, every, plan_steps
 from corpusprep.operators.loss import eval_loss, masked_mean, mean_loss, pad_mask, score_with
 from corpusprep.operators.sample import mixture_weights, sample_categorical
-from corpusprep.operators.tokens import decode_with, encode_with, special_ids
+from corpusprep.operators.tokens import JsonTokenizer, decode_with, encode_with, special_ids
 from corpusprep.operators.vectors import causal_mask
 
 
@@ -213,30 +213,7 @@ class Letters:
         return ["".join(map(chr, r)) for r in rows]
 
 
-class Trained:
-    """A byte-pair tokenizer carried to the workers as JSON."""
-
-    eos_id = 0
-
-    def __init__(self, text):
-        self.text = text
-
-    def load(self):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.inner = Tokenizer.from_str(self.text)
-
-    def encode_batch(self, texts):
-        return [e.ids for e in self.inner.encode_batch(texts, add_special_tokens=False)]
-
-    def decode_batch(self, rows):
-        return self.inner.decode_batch(rows)
-
-
-def test_user_tokenizers(spark, sf):
+def test_user_tokenizers(spark, sf, tmp_path):
     from pyspark import cloudpickle
     from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
 
@@ -246,9 +223,17 @@ def test_user_tokenizers(spark, sf):
     bpe.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
     bpe.decoder = decoders.ByteLevel()
     alphabet = pre_tokenizers.ByteLevel.alphabet()
-    bpe.train_from_iterator(texts, trainers.BpeTrainer(vocab_size=400, initial_alphabet=alphabet, show_progress=False))
+    trainer = trainers.BpeTrainer(
+        vocab_size=400, initial_alphabet=alphabet, special_tokens=["<eos>"], show_progress=False
+    )
+    bpe.train_from_iterator(texts, trainer)
+    bpe.save(str(tmp_path / "bpe.json"))
+    trained = JsonTokenizer.open(str(tmp_path / "missing.json"), fallback=str(tmp_path / "bpe.json"))
+    assert (trained.eos_id, trained.pad_id, trained.vocab_size) == (0, 0, 400)
+    with pytest.raises(OSError):
+        JsonTokenizer.open(str(tmp_path / "missing.json"))
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    for tokenizer in (Letters(), Trained(bpe.to_str())):
+    for tokenizer in (Letters(), trained):
         back = df.select("text", encode_with(tokenizer, F.col("text")).alias("ids"))
         back = back.select("text", "ids", decode_with(tokenizer, F.col("ids")).alias("back"))
         rows = back.collect()

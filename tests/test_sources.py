@@ -137,6 +137,9 @@ def test_arrow_folder(spark, tmp_path, kind):
     assert df.dtypes == [("input_ids", "array<bigint>")]
     assert sorted(r["input_ids"] for r in df.collect()) == sorted(expect)
     assert df.rdd.getNumPartitions() == 3
+    placed = read_pretokenized(spark, str(tmp_path), position=True).orderBy("file_no", "row_no").collect()
+    assert [r["input_ids"] for r in placed] == expect
+    assert [(r["file_no"], r["row_no"]) for r in placed] == [(i, j) for i in range(3) for j in range(5)]
     assert df.select(require_length(F.col("input_ids"), 3)).count() == 15
     with pytest.raises(Exception, match="expected 4 ids"):
         df.select(require_length(F.col("input_ids"), 4)).collect()
