@@ -120,9 +120,11 @@ def order_bucket(
     return base * F.lit(1 << (20 * (levels - 1))) + F.when(chosen, inner.cast("bigint")).otherwise(F.lit(0))
 
 
-def hash_bucket(digest: Column, digits: int = 4) -> Column:
-    """Bucket that follows the order of a hex digest: its first digits as a number."""
-    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("int")
+def hash_bucket(df: DataFrame, digest: Column) -> Column:
+    """Bucket that follows the order of a hex digest, several for each shuffle partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, 16 * partitions)
+    return F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * (buckets / MAX_BUCKETS)).cast("int")
 
 
 def running(
@@ -139,7 +141,8 @@ def running(
     """Exclusive running sums of ``sums`` along ``order``, restarted per ``by``.
 
     ``order`` must identify a row (within ``by``). Its first entry must be an
-    integer, a time or a string unless ``bucket`` names an order-following bucket.
+    integer, a time or a string unless ``bucket`` names an order-following bucket,
+    of at most ``MAX_BUCKETS`` values.
     ``totals`` adds per-``by`` aggregates as ``name -> (aggregate, merge)`` with
     merge one of ``sum``, ``min``, ``max``.
 

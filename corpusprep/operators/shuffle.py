@@ -22,7 +22,7 @@ def shuffle(df: DataFrame, ids: Sequence[str], seed: int, epoch: int | Column =
     keyed = df.withColumn("__digest", seeded_key(seed, epoch, *[F.col(c) for c in ids]))
     digest = F.col("__digest")
     order = [digest, *ids]
-    return global_index(keyed, order, by=by, bucket=hash_bucket(digest)).drop("__digest")
+    return global_index(keyed, order, by=by, bucket=hash_bucket(df, digest)).drop("__digest")
 
 
 def file_shuffle(df: DataFrame, file: str, order: Sequence[str], seed: int, epoch: int = 0) -> DataFrame:
@@ -30,7 +30,7 @@ def file_shuffle(df: DataFrame, file: str, order: Sequence[str], seed: int, epoc
     digest = seeded_key(seed, F.lit(epoch), F.col(file))
     files = df.groupBy(file).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__digest", digest)
     starts = running(
-        files, ["__digest", file], {"__start": F.col("__rows")}, bucket=hash_bucket(F.col("__digest"))
+        files, ["__digest", file], {"__start": F.col("__rows")}, bucket=hash_bucket(df, F.col("__digest"))
     ).select(file, "__start")
     inner = global_index(df, order, by=[file], out="__at")
     joined = lookup_join(inner, starts, file, "inner")

@@ -47,11 +47,11 @@ def shuffled_batches(spark, sf):
     """Loader order: shuffle, then fixed-size batches."""
     digest = seeded_key(SEED, F.lit(0), F.col("o_orderkey"))
     keyed = _orders(spark, sf).withColumn("digest", digest)
-    return batch(keyed, ["digest", "o_orderkey"], BATCH, bucket=hash_bucket(F.col("digest"))).drop("digest")
+    return batch(keyed, ["digest", "o_orderkey"], BATCH, bucket=hash_bucket(keyed, F.col("digest"))).drop("digest")
 
 
 def shuffle_files(spark, sf):
-    return file_shuffle(docs(spark, sf).select("source", "doc_id"), "source", ["doc_id"], SEED)
+    return file_shuffle(read_table(spark, sf, "documents").select("source", "doc_id"), "source", ["doc_id"], SEED)
 
 
 def shuffle_blocks(spark, sf):
@@ -77,7 +77,7 @@ def summary(spark, sf):
 
 
 def mixture(spark, sf):
-    weights = mixture_weights(docs(spark, sf), "lang", TEMPERATURE)
+    weights = mixture_weights(read_table(spark, sf, "documents"), "lang", TEMPERATURE)
     return weights.select("lang", "n", r6(F.col("weight")).alias("weight"))
 
 

@@ -36,6 +36,7 @@ from corpusprep.plans.common import (
     lines,
     vocab,
 )
+from corpusprep.session import stage
 from corpusprep.sources.documents import read_table
 
 CONTEXT = 32
@@ -95,7 +96,7 @@ def decode_lines(spark, sf):
     per_line = lines(spark, sf).select(
         "doc_id", "line_no", F.posexplode(append_eos(words(F.col("line")), EOS)).alias("pos", "token")
     )
-    table = vocab(spark, sf)
+    table = stage(vocab(spark, sf), "vocab")
     ids = to_ids(per_line, table, bound=VOCAB_SIZE)
     return decode(ids, table, ["doc_id", "line_no"], "pos", bound=VOCAB_SIZE)
 

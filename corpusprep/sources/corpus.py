@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from corpusprep.functions.text import byte_len, is_blank, repair_utf8
 from corpusprep.operators.lookup import lookup_join
-from corpusprep.operators.order import ranged_index
+from corpusprep.operators.order import MAX_BUCKETS, ranged_index
 from corpusprep.operators.pack import pack
 from corpusprep.operators.split import TRAIN_SHARE, split_by_bytes
 from corpusprep.session import stage
@@ -42,8 +43,8 @@ def scan_text(spark: SparkSession, path: str) -> DataFrame:
 class Corpus:
     """``lines`` of all files, and how many files there are.
 
-    ``lines`` holds ``(file, file_no, block_no, block_start, size, id, bytes, line)``;
-    ``file_no`` numbers the files in path order.
+    ``lines`` holds ``(file, file_no, bucket, block_no, block_start, size, id, bytes, line)``;
+    ``file_no`` numbers the files in path order, ``bucket`` gathers blocks when there are very many.
     """
 
     lines: DataFrame
@@ -80,6 +81,7 @@ def read_corpus(spark: SparkSession, path: str) -> Corpus:
     lines = placed.select(
         "file",
         "file_no",
+        F.floor(F.col("block_no") / math.ceil((n_blocks + 1) / MAX_BUCKETS)).alias("bucket"),
         "block_no",
         "block_start",
         "size",
@@ -119,5 +121,5 @@ def pack_corpus(df: DataFrame, ids: Column, length: int) -> DataFrame:
 
     ``ids`` tokenizes the ``line`` column.
     """
-    lines = df.filter(~is_blank(F.col("line"))).select("block_no", "id", "line")
-    return pack(lines, ["id"], ids, length, bucket=F.col("block_no"))
+    lines = df.filter(~is_blank(F.col("line"))).select("bucket", "block_no", "id", "line")
+    return pack(lines, ["block_no", "id"], ids, length, bucket=F.col("bucket"))
