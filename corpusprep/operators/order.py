@@ -60,7 +60,8 @@ def _quantiles(df: DataFrame, key: Column, rows_per_bucket: int | None) -> tuple
     """
     keys = df.select(key.cast("bigint").alias("k"))
     n, known = keys.agg(F.count(F.lit(1)), F.count("k")).first()
-    floor = 4 * df.sparkSession.sparkContext.defaultParallelism
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    floor = 4 * max(partitions, df.sparkSession.sparkContext.defaultParallelism)
     wanted = min(MAX_BUCKETS, max(floor, math.ceil(n / (rows_per_bucket or ROWS_PER_BUCKET))))
     fractions = _array("double", (i / wanted for i in range(1, wanted)))
     cuts = keys.agg(F.percentile_approx("k", fractions, max(1_000, 8 * wanted))).first()[0]

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusprep.sources.files import remove
+
 
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
@@ -46,6 +48,15 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def _stage_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/corpusprep/{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; DataFrames that read it stop working."""
+    remove(spark, _stage_dir(spark))
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of that table.
 
@@ -53,6 +64,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     columns they need.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusprep/{label}-{uuid.uuid4().hex}"
+    path = f"{_stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from corpusprep.session import local_session  # noqa: E402
+from corpusprep.session import clear_staged, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8)
     yield session
+    clear_staged(session)
     session.stop()
 
 
