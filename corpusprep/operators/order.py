@@ -1,16 +1,17 @@
 """Running totals and positions over ordered data, without one-task sorts.
 
-Ordered rows are cut into buckets that follow the order. Bucket totals are a
-small table; a window over *them* gives every bucket its start, and a window
-inside each bucket does the rest. A bucket holds about ``rows / n_buckets``
-rows however the keys are spread, and a hot key is cut into many buckets.
+Ordered rows are cut into buckets that follow the order. The cuts are whole
+key tuples from a bounded, seeded sample, and rows are compared with them
+exactly, whatever the types. Bucket totals are a small table; a window over
+*them* gives every bucket its start, and a window inside each bucket does the
+rest. A hot first key is cut by the next ones, since the tuple is compared.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
@@ -18,9 +19,9 @@ from corpusprep.functions.arrays import search_sorted
 from corpusprep.session import stage
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 65_536
-HOT_CUTS = 4  # a value that this many quantiles fall on is cut up further
-_LEVELS = 3
+MAX_BUCKETS = 65_536  # cuts are part of the plan, so their number is bounded
+_OVERSAMPLE = 8
+_SEED = 42
 _BUCKET, _KEY = "__bucket", "__key"
 
 
@@ -31,101 +32,62 @@ def micros(ts: Column) -> Column:
     return seconds * 1_000_000 + fraction
 
 
-def _image(df: DataFrame, key: Column) -> Column | None:
-    """An integer that follows the order of ``key``; None for kinds that have none."""
-    kind = df.select(key).dtypes[0][1]
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return key.cast("bigint")
-    if kind == "timestamp_ntz":
-        return micros(key)
-    if kind == "timestamp":
-        return F.unix_micros(key)
-    if kind == "date":
-        return F.unix_date(key).cast("bigint")
-    if kind == "string":
-        head = F.substring(F.rpad(F.hex(F.encode(key, "UTF-8")), 14, "0"), 1, 14)
-        return F.conv(head, 16, 10).cast("bigint")
-    return None
+@dataclass(frozen=True)
+class Cuts:
+    """Ascending key tuples that part the rows, as JSON of their type."""
+
+    tuples: tuple[str, ...]
+    kind: str
+
+    def bucket(self, keys: Sequence[Column]) -> Column:
+        """How many cuts are at or below the row's keys; nulls come before all values."""
+        if not self.tuples:
+            return F.lit(0)
+        cuts = F.from_json(F.lit(f"[{','.join(self.tuples)}]"), f"array<{self.kind}>")
+        return search_sorted(cuts, _tuple(keys), len(self.tuples))
 
 
-def _array(kind: str, values: Iterable[float]) -> Column:
-    """A constant array, parsed from one string rather than built call by call."""
-    return F.expr(f"cast(split('{','.join(map(str, values))}', ',') as array<{kind}>)")
+def _tuple(keys: Sequence[Column]) -> Column:
+    return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
 
 
-def _quantiles(df: DataFrame, key: Column, rows_per_bucket: int | None) -> tuple[list[int], float]:
-    """Quantiles of ``key``, as many as buckets are wanted, and how many buckets its nulls would fill.
+def cut_rows(df: DataFrame, keys: Sequence[Column], rows_per_bucket: int | None = None) -> Cuts:
+    """Cuts into buckets of similar row count, a few for each core at least.
 
-    Reads the key column only; at most ``MAX_BUCKETS`` numbers come back.
+    One job over the keys keeps the rows with the smallest hashes: a uniform
+    sample, whose largest hash tells how many rows there are. A second job
+    draws more only if more buckets are due. Cuts balance the work; what is
+    computed with them does not depend on which rows were drawn.
     """
-    keys = df.select(key.cast("bigint").alias("k"))
-    n, known = keys.agg(F.count(F.lit(1)), F.count("k")).first()
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    floor = 4 * max(partitions, df.sparkSession.sparkContext.defaultParallelism)
-    wanted = min(MAX_BUCKETS, max(floor, math.ceil(n / (rows_per_bucket or ROWS_PER_BUCKET))))
-    fractions = _array("double", (i / wanted for i in range(1, wanted)))
-    cuts = keys.agg(F.percentile_approx("k", fractions, max(1_000, 8 * wanted))).first()[0]
-    return list(cuts or []), (n - known) / n * wanted if n else 0.0
+    spark = df.sparkSession
+    keyed = df.select(_tuple(keys).alias("k"))
+    floor = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    # The row number is hashed along, or all repeats of a key would be drawn together.
+    hashed = keyed.select("k", F.xxhash64("k", F.monotonically_increasing_id(), F.lit(_SEED)).alias("h"))
 
+    def draw(most: int) -> list:
+        sample = hashed.orderBy("h").limit(most)
+        return sample.orderBy("k").select(F.to_json("k").alias("k"), "h").collect()
 
-def bucket_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None) -> list[int]:
-    """Ascending lower bounds that cut ``key`` into buckets of similar row count."""
-    return sorted(set(_quantiles(df, key, rows_per_bucket)[0]))
+    def rows_in(sample: list, most: int) -> float:
+        if len(sample) < most:
+            return len(sample)
+        return most * 2.0**64 / max(1.0, max(r["h"] for r in sample) + 2.0**63)
 
+    wanted, per = floor, rows_per_bucket or ROWS_PER_BUCKET
+    sample = draw(_OVERSAMPLE * wanted)
+    due = min(MAX_BUCKETS, math.ceil(rows_in(sample, _OVERSAMPLE * wanted) / per))
+    if due > wanted:
+        wanted = due
+        sample = draw(_OVERSAMPLE * wanted)
+    n = len(sample)
+    picked = dict.fromkeys(sample[i * n // wanted]["k"] for i in range(1, wanted) if n)
+    return Cuts(tuple(picked), keyed.schema["k"].dataType.simpleString())
 
-def bucket_of(key: Column, bounds: Sequence[int]) -> Column:
-    """Index of the bucket ``key`` falls into: how many bounds are <= key; nulls come first.
 
-    Evenly spread bounds become plain arithmetic; others a binary search over
-    a literal array.
-    """
-    if not bounds:
-        return F.lit(0)
-    n = len(bounds)
-    key = key.cast("bigint")
-    if n > 2:
-        width = (bounds[-1] - bounds[0]) / (n - 1)
-        gaps = [b - a for a, b in zip(bounds, bounds[1:])]
-        if min(gaps) >= width / 2 and max(gaps) <= 2 * width:
-            # 64-bit ids can overflow a difference, so subtract as double.
-            cell = F.floor((key.cast("double") - F.lit(float(bounds[0]))) / F.lit(float(width))) + 1
-            return F.greatest(F.lit(0), F.least(F.lit(n), F.coalesce(cell, F.lit(0)))).cast("int")
-    return search_sorted(_array("bigint", bounds), key, n)
-
-
-def order_bucket(
-    df: DataFrame, order: Sequence[Column], rows_per_bucket: int | None = None, levels: int = _LEVELS
-) -> Column:
-    """A bucket that follows ``order`` and holds a bounded share of the rows.
-
-    Buckets are quantiles of the first entry. A value of it that spans several
-    quantiles (or null, where many rows have none) gets a bucket of its own,
-    which the next entry cuts further.
-    """
-    key = _image(df, order[0])
-    if key is None:
-        raise TypeError("order by an integral, time or string column first, or name a bucket")
-    cuts, nulls = _quantiles(df, key, rows_per_bucket)
-    seen = Counter(cuts)
-    hot = sorted(k for k, times in seen.items() if times >= HOT_CUTS)
-    null_hot = nulls >= HOT_CUTS
-    deeper = levels > 1 and len(order) > 1 and _image(df, order[1]) is not None
-    if not deeper or not (hot or null_hot):
-        return bucket_of(key, sorted(seen))
-    edges = sorted({*seen, *hot, *(k + 1 for k in hot if k < 2**63 - 1)})
-    base = F.when(key.isNull(), F.lit(0)).otherwise(bucket_of(key, edges) + 1).cast("bigint")
-    chosen = F.array_contains(_array("bigint", hot), key) if hot else F.lit(False)
-    chosen = F.when(key.isNull(), F.lit(null_hot)).otherwise(chosen)
-    inner = order_bucket(df.filter(chosen), order[1:], rows_per_bucket, levels - 1)
-    # A later level numbers its buckets below 2 ** 20, or below 2 ** 40 when it has levels itself.
-    return base * F.lit(1 << (20 * (levels - 1))) + F.when(chosen, inner.cast("bigint")).otherwise(F.lit(0))
-
-
-def hash_bucket(df: DataFrame, digest: Column) -> Column:
-    """Bucket that follows the order of a hex digest, several for each shuffle partition."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(MAX_BUCKETS, 16 * partitions)
-    return F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * (buckets / MAX_BUCKETS)).cast("int")
+def order_bucket(df: DataFrame, order: Sequence[Column], rows_per_bucket: int | None = None) -> Column:
+    """A bucket that follows ``order`` and holds a bounded share of the rows."""
+    return cut_rows(df, order, rows_per_bucket).bucket(order)
 
 
 def running(
@@ -141,9 +103,9 @@ def running(
 ) -> DataFrame:
     """Exclusive running sums of ``sums`` along ``order``, restarted per ``by``.
 
-    ``order`` must identify a row (within ``by``). Its first entry must be an
-    integer, a time or a string unless ``bucket`` names an order-following bucket,
-    of at most ``MAX_BUCKETS`` values.
+    ``order`` must identify a row (within ``by``); its entries are of any
+    comparable type. ``bucket`` may name a bucket that follows the order, of at
+    most ``MAX_BUCKETS`` values.
     ``totals`` adds per-``by`` aggregates as ``name -> (aggregate, merge)`` with
     merge one of ``sum``, ``min``, ``max``.
 
@@ -157,7 +119,8 @@ def running(
     totals = dict(totals or {})
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     if bucket is None:
-        bucket = order_bucket(df, order, rows_per_bucket)
+        # Cuts hold the groups' keys too: short groups stay whole, long ones are cut.
+        bucket = order_bucket(df, [*[F.col(c) for c in by], *order], rows_per_bucket)
     # A struct compares null-safely and keeps the partitioning usable by the join.
     key = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
     if derive:
@@ -245,8 +208,7 @@ def cut_key(df: DataFrame, key: str, fraction: float) -> int | None:
     split with a plain filter on ``key`` that reaches the scan.
     """
     keys = df.select(F.col(key).cast("bigint").alias("k"))
-    bounds = bucket_bounds(df, F.col(key))
-    bucketed = keys.withColumn("b", bucket_of(F.col("k"), bounds))
+    bucketed = keys.withColumn("b", order_bucket(keys, [F.col("k")]))
     counts = sorted(bucketed.groupBy("b").count().collect())  # bounded by MAX_BUCKETS
     rank = math.floor(fraction * sum(r["count"] for r in counts))
     for r in counts:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusprep.functions.sampling import seeded_key
 from corpusprep.operators.lookup import lookup_join
-from corpusprep.operators.order import global_index, hash_bucket, running
+from corpusprep.operators.order import global_index, running
 
 BUFFER = 2000  # fixed value: rows that a bounded shuffle mixes
 
@@ -20,18 +20,14 @@ def shuffle(df: DataFrame, ids: Sequence[str], seed: int, epoch: int | Column =
     """
     epoch = F.lit(epoch) if isinstance(epoch, int) else epoch
     keyed = df.withColumn("__digest", seeded_key(seed, epoch, *[F.col(c) for c in ids]))
-    digest = F.col("__digest")
-    order = [digest, *ids]
-    return global_index(keyed, order, by=by, bucket=hash_bucket(df, digest)).drop("__digest")
+    return global_index(keyed, ["__digest", *ids], by=by).drop("__digest")
 
 
 def file_shuffle(df: DataFrame, file: str, order: Sequence[str], seed: int, epoch: int = 0) -> DataFrame:
     """Files in a random order, the rows of each file in their own order."""
     digest = seeded_key(seed, F.lit(epoch), F.col(file))
     files = df.groupBy(file).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__digest", digest)
-    starts = running(
-        files, ["__digest", file], {"__start": F.col("__rows")}, bucket=hash_bucket(df, F.col("__digest"))
-    ).select(file, "__start")
+    starts = running(files, ["__digest", file], {"__start": F.col("__rows")}).select(file, "__start")
     inner = global_index(df, order, by=[file], out="__at")
     joined = lookup_join(inner, starts, file, "inner")
     return joined.select(*df.columns, (F.col("__start") + F.col("__at")).alias("pos"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.sampling import seeded_key
 from corpusprep.operators.batch import assign_shards, batch, corpus_stats, estimate_steps, plan_steps
-from corpusprep.operators.order import global_index, hash_bucket
+from corpusprep.operators.order import global_index
 from corpusprep.operators.sample import TEMPERATURE, mixture_weights
 from corpusprep.operators.shuffle import BUFFER, block_shuffle, file_shuffle, repeat_epochs, shuffle
 from corpusprep.operators.tokens import text_tokens
@@ -47,7 +47,7 @@ def shuffled_batches(spark, sf):
     """Loader order: shuffle, then fixed-size batches."""
     digest = seeded_key(SEED, F.lit(0), F.col("o_orderkey"))
     keyed = _orders(spark, sf).withColumn("digest", digest)
-    return batch(keyed, ["digest", "o_orderkey"], BATCH, bucket=hash_bucket(keyed, F.col("digest"))).drop("digest")
+    return batch(keyed, ["digest", "o_orderkey"], BATCH).drop("digest")
 
 
 def shuffle_files(spark, sf):

@@ -99,19 +99,47 @@ def test_index_does_not_depend_on_partitions(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_buckets_are_balanced_when_keys_cluster(spark):
-    rows = [(i,) for i in range(5000)] + [(10**17 + i,) for i in range(5000)]
-    df = spark.createDataFrame(rows, "k bigint")
-    bounds = O.bucket_bounds(df, F.col("k"), rows_per_bucket=100)
-    sizes = [r["count"] for r in df.groupBy(O.bucket_of(F.col("k"), bounds)).count().collect()]
-    assert len(sizes) > 80 and max(sizes) <= 300
+def _sizes(df, keys, rows_per_bucket):
+    bucket = O.order_bucket(df, [F.col(k) for k in keys], rows_per_bucket=rows_per_bucket)
+    return [r["count"] for r in df.groupBy(bucket).count().collect()]
 
 
-def test_a_hot_run_is_cut_into_buckets(spark):
-    df = spark.range(20_000).select(F.col("id").alias("k"), F.lit(7).alias("run"))
-    bounds = O.bucket_bounds(df, F.col("k"), rows_per_bucket=500)
-    sizes = df.groupBy("run", O.bucket_of(F.col("k"), bounds).alias("b")).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 1000
+def test_buckets_are_balanced_when_keys_cluster(spark):
+    rows = [(i,) for i in range(5000)] + [(10**17 + i,) for i in range(5000)]
+    sizes = _sizes(spark.createDataFrame(rows, "k bigint"), ["k"], 100)
+    assert len(sizes) > 80 and max(sizes) <= 500
+
+
+def test_a_hot_run_is_cut_and_short_runs_stay_whole(spark):
+    hot = spark.range(20_000).select(F.lit(7).cast("bigint").alias("run"), F.col("id").alias("k"))
+    short = spark.range(20_000).select((F.col("id") % 5000 + 10).alias("run"), F.col("id").alias("k"))
+    df = hot.unionByName(short).cache()
+    assert max(_sizes(df, ["run", "k"], 500)) <= 2500
+    bucket = O.order_bucket(df, [F.col("run"), F.col("k")], rows_per_bucket=500)
+    totals = df.select("run", bucket.alias("b")).distinct().count()
+    buckets = df.select(bucket.alias("b")).distinct().count()
+    assert totals <= 5001 + buckets
+    got = O.global_index(df, ["k"], by=["run"]).filter("run = 7").agg(F.sum((F.col("pos") != F.col("k")).cast("int")))
+    assert got.first()[0] == 0
+
+
+TUPLES = {
+    "several hot values with a rare neighbour": [(k, i) for i, k in enumerate([0, 3, 6] * 2991 + [4] * 27)],
+    "text with one long prefix": [(f"https://host/a/long/path/doc-{i % 50:07d}", i) for i in range(9000)],
+    "a hot id above 2 ** 53": [(2**60 + 1 if i % 2 else 2**60 + i, i) for i in range(9000)],
+    "nulls": [(None if i % 3 else i, i) for i in range(3000)],
+}
+
+
+@pytest.mark.parametrize("case", list(TUPLES))
+def test_positions_equal_a_sort(spark, case):
+    rows = TUPLES[case]
+    kind = "string" if isinstance(rows[0][0], str) else "bigint"
+    df = spark.createDataFrame(rows, f"a {kind}, b bigint").repartition(5)
+    got = {r["b"]: r["pos"] for r in O.global_index(df, ["a", "b"]).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0 if kind == "bigint" else r[0], r[1]))
+    assert got == {b: at for at, (_, b) in enumerate(order)}
+    assert max(_sizes(df, ["a", "b"], 100)) <= 800
 
 
 @pytest.mark.parametrize("share", [0.0, 0.5, 0.9, 1.0])
