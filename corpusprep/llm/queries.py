@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import secrets
+from corpusprep.llm import hilbert, secrets
 from corpusprep.llm.common import table
 
 
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.op2(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op3(table(spark, sf_dir, "documents"))
 
@@ -15,6 +19,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_hilbert_shards,
         op3_secret_scan,
     )
 }
