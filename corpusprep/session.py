@@ -57,6 +57,11 @@ def clear_staged(spark: SparkSession) -> None:
     remove(spark, _stage_dir(spark))
 
 
+def stage_path(spark: SparkSession, label: str = "stage") -> str:
+    """A new place in the shared folder, below the one that ``clear_staged`` deletes."""
+    return f"{_stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of that table.
 
@@ -64,6 +69,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     columns they need.
     """
     spark = df.sparkSession
-    path = f"{_stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
