@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """``crc32`` of the id as text, modulo ``folds``; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(folds))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import hilbert, secrets
-from corpusprep.llm.common import table
+from corpusprep.llm import hilbert, orc_tokens, secrets
+from corpusprep.llm.common import table, tokenizer_file
 
 
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +16,16 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op3(table(spark, sf_dir, "documents"))
 
 
+def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orc_tokens.op7(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op2_hilbert_shards,
         op3_secret_scan,
+        op7_orc_tokens,
     )
 }
 
