@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import hilbert, orc_tokens, secrets
+from corpusprep.llm import hilbert, orc_tokens, secrets, sentencepieces
 from corpusprep.llm.common import table, tokenizer_file
 
 
@@ -16,6 +16,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op3(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.op5(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.op7(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -25,6 +29,7 @@ QUERIES = {
     for f in (
         op2_hilbert_shards,
         op3_secret_scan,
+        op5_sentencepiece,
         op7_orc_tokens,
     )
 }
