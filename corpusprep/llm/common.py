@@ -88,12 +88,15 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Pieces of a sorted partition that hold whole groups, with the row each group starts at.
+def sorted_groups(
+    batches: Iterable[pa.RecordBatch], keys: list[str], most: int
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Pieces of a partition sorted by ``keys``, with the row each group starts at.
 
-    A group that spans batches is carried over, so callers bound their groups.
+    Groups of up to ``most`` rows come whole. A larger one may come in several
+    pieces, each of more than ``most`` rows, so that no group is held in memory.
     """
-    rest: list[pa.RecordBatch] = []
+    rest: pa.Table | None = None
 
     def starts(t: pa.Table) -> np.ndarray:
         new = np.zeros(t.num_rows, bool)
@@ -106,14 +109,18 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
     for batch in batches:
         if not batch.num_rows:
             continue
-        whole = pa.Table.from_batches([*rest, batch])
+        now = pa.Table.from_batches([batch])
+        whole = pa.concat_tables([rest, now]) if rest is not None else now
         at = starts(whole)
-        if len(at) == 1:
-            rest.append(batch)
-            continue
-        cut = int(at[-1])
-        yield whole.slice(0, cut), at[:-1]
-        rest = whole.slice(cut).combine_chunks().to_batches()
-    if rest:
-        whole = pa.Table.from_batches(rest)
-        yield whole, starts(whole)
+        open_ = int(at[-1])
+        if whole.num_rows - open_ > 2 * most + 2:
+            # Of a large group a piece of most + 1 rows is kept, for the next piece must be large too.
+            cut = whole.num_rows - most - 1
+            yield whole.slice(0, cut), at
+        else:
+            cut = open_
+            if cut:
+                yield whole.slice(0, cut), at[:-1]
+        rest = whole.slice(cut).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest, starts(rest)

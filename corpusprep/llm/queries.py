@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import hilbert, orc_tokens, secrets, sentencepieces
+from corpusprep.llm import hilbert, orc_tokens, secrets, sentencepieces, simhash
 from corpusprep.llm.common import table, tokenizer_file
 
 
@@ -24,6 +24,10 @@ def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.op7(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op10(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -31,6 +35,7 @@ QUERIES = {
         op3_secret_scan,
         op5_sentencepiece,
         op7_orc_tokens,
+        op10_simhash,
     )
 }
 
