@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import hilbert, orc_tokens, secrets, sentencepieces, simhash
+from corpusprep.llm import embeddings, hilbert, orc_tokens, secrets, sentencepieces, simhash
 from corpusprep.llm.common import table, tokenizer_file
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.op1(table(spark, sf_dir, "embeddings"))
+
+
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.op2(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_embedding_dedup,
         op2_hilbert_shards,
         op3_secret_scan,
         op5_sentencepiece,
