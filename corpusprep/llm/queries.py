@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import embeddings, hilbert, orc_tokens, quality, secrets, sentencepieces, simhash
+from corpusprep.llm import embeddings, hilbert, langid, orc_tokens, quality, secrets, sentencepieces, simhash
 from corpusprep.llm.common import table, tokenizer_file
 
 
@@ -28,6 +28,10 @@ def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.op7(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op8(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES = {
         op3_secret_scan,
         op5_sentencepiece,
         op7_orc_tokens,
+        op8_language_id,
         op9_quality,
         op10_simhash,
     )
