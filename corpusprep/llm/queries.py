@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import embeddings, hilbert, langid, orc_tokens, quality, secrets, sentencepieces, simhash
+from corpusprep.llm import decontaminate, embeddings, hilbert, langid, orc_tokens, quality, secrets, sentencepieces, simhash
 from corpusprep.llm.common import table, tokenizer_file
 
 
@@ -24,6 +24,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.op5(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op6(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.op7(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -47,6 +51,7 @@ QUERIES = {
         op2_hilbert_shards,
         op3_secret_scan,
         op5_sentencepiece,
+        op6_decontaminate,
         op7_orc_tokens,
         op8_language_id,
         op9_quality,

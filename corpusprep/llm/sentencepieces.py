@@ -237,3 +237,20 @@ def op5(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(run, _DIGESTS)
+
+
+def encode_checked(df: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``encode`` with ``n_tokens`` and ``round_trip``: whether the ids decode to the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, texts, rows in _encoded(batches, path):
+            spans = [model(path).spans(t or "", r) for t, r in zip(texts, rows)]
+            same = [a == (b or "") for a, b in zip(model(path).decode(rows), texts)]
+            counts = pa.array([len(r) for r in rows], pa.int64())
+            lists = [_lists(rows), _lists([s for s, _ in spans]), _lists([e for _, e in spans])]
+            names = [id_col, "n_tokens", "ids", "starts", "ends", "round_trip"]
+            yield pa.RecordBatch.from_arrays([keys, counts, *lists, pa.array(same)], names=names)
+
+    kind = df.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, n_tokens bigint, ids array<int>, starts array<int>, ends array<int>, round_trip boolean"
+    return df.select(id_col, F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
