@@ -13,7 +13,7 @@ from itertools import chain
 
 import numpy as np
 
-MOST = 300_000
+MOST = 400_000
 LONG = 64  # longer chunks are rare and large, and are not kept
 
 
