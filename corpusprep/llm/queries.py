@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import decontaminate, embeddings, hilbert, langid, orc_tokens, quality, secrets, sentencepieces, simhash
+from corpusprep.llm import decontaminate, embeddings, hilbert, langid, lm, orc_tokens, quality, secrets, sentencepieces, simhash
 from corpusprep.llm.common import table, tokenizer_file
 
 
@@ -20,6 +20,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.op4(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.op5(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -50,6 +54,7 @@ QUERIES = {
         op1_embedding_dedup,
         op2_hilbert_shards,
         op3_secret_scan,
+        op4_lm_score,
         op5_sentencepiece,
         op6_decontaminate,
         op7_orc_tokens,
