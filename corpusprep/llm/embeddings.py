@@ -154,7 +154,7 @@ def _compare(dealt: DataFrame, kind: str, tables: int, threshold: float, block:
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "h", "n", "peer"])
 
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = dealt.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP)
+    grouped = dealt.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP, "node")
     return grouped.mapInArrow(run, "node bigint, h bigint, n bigint, peer bigint")
 
 

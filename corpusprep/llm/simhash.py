@@ -112,7 +112,8 @@ def _verify(signatures: DataFrame, distance: int, most: int) -> DataFrame:
                 if n > most:
                     large[at : at + n] = True
                     continue
-                x, y = _forest(fps[at : at + n].view("u8"), distance)
+                # In order, so that edges lead to the least number, which components are named by.
+                x, y = _forest(np.sort(fps[at : at + n]).view("u8"), distance)
                 a, b, m = [*a, x.view("i8")], [*b, y.view("i8")], [*m, np.zeros(len(x), np.int64)]
             a, m = np.concatenate([*a, fps[large]]), np.concatenate([*m, masks[large]])
             b = np.concatenate([*b, fps[large]])
