@@ -19,7 +19,7 @@ The trie lies in files that tasks map into memory:
 * **pairs**, cut by running count so that each file stands for the same number of
   training pairs; a context with more is spread by its successors' ids. Successor
   ids are stored relative to what the context before ended with, which makes one
-  monotone sequence; discounted log probabilities are quantised to eight bits.
+  monotone sequence; discounted log probabilities are quantised to sixteen bits.
 
 A pair is looked up by its context's pointers and a successor search between
 them. Counting is partitioned by Spark: words by hash range, pairs by file, so
@@ -55,7 +55,7 @@ from corpusprep.session import stage, stage_path
 
 FOLDS = 7
 DISCOUNT = 0.75
-LEVELS = 256
+LEVELS = 1 << 16
 WORDS_PER_FILE = 1 << 18
 PAIRS_PER_FILE = 1 << 21
 _PIECE = 1 << 22
@@ -383,7 +383,7 @@ def _with_pairs(texts: DataFrame, model: Model, parts: int) -> Model:
             values = (w + 1 + np.repeat(base, distinct)).astype(np.uint64)
             total = _context_counts(model, contexts)
             p = (times - model.discount) / np.repeat(total, distinct)
-            level = np.clip(np.rint(-np.log10(p) / model.step), 0, LEVELS - 1).astype(np.uint8)
+            level = np.clip(np.rint(-np.log10(p) / model.step), 0, LEVELS - 1).astype(np.uint16)
             save(model.folder, f"pairs-{f}", _named("next", EliasFano.build(values).arrays) | {"level": level})
             columns = [pa.array(np.full(len(contexts), f, np.int64)), pa.array(contexts), pa.array(distinct)]
             yield pa.RecordBatch.from_arrays(columns, names=["file", "u", "d"])
