@@ -17,14 +17,14 @@ def lookup_join(
     how: str = "left",
     bound: int | None = None,
     row_bytes: int = 64,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Add the columns of ``dim`` (unique on ``on``) to ``facts``.
 
     ``dim`` is broadcast only when it is small: its row count is ``bound`` if
     the caller knows one, else it is counted; ``row_bytes`` is the size of a
-    row. A larger ``dim`` is shuffled,
-    each of its rows to ``SALTS`` partitions, so that a hot key in ``facts``
-    is spread over as many tasks.
+    row. A larger ``dim`` is shuffled, each of its rows to ``salts``
+    partitions, so that a hot key in ``facts`` is spread over as many tasks.
     """
     on = [on] if isinstance(on, str) else list(on)
     most = BROADCAST_BYTES // row_bytes
@@ -32,6 +32,8 @@ def lookup_join(
         bound = dim.limit(most + 1).count()
     if bound <= most:
         return facts.join(F.broadcast(dim), on, how)
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    salted = dim.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    if salts == 1:
+        return facts.join(dim, on, how)
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    salted = dim.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return facts.withColumn("__salt", salt).join(salted, [*on, "__salt"], how).drop("__salt")

@@ -1,10 +1,14 @@
 """Running totals and positions over ordered data, without one-task sorts.
 
-Ordered rows are cut into buckets that follow the order. The cuts are whole
-key tuples from a bounded, seeded sample, and rows are compared with them
-exactly, whatever the types. Bucket totals are a small table; a window over
-*them* gives every bucket its start, and a window inside each bucket does the
-rest. A hot first key is cut by the next ones, since the tuple is compared.
+Spark's own range partitions are the buckets. Rows are range-partitioned by
+the whole key tuple, sorted and staged once with their partition and their
+place in it; a small table of partition totals gives every partition its
+start. Positions then need no window at all, running sums one window inside
+each partition. A hot first key is cut by the next ones, since the whole tuple
+is partitioned by.
+
+Rows too wide to be staged (whole texts) are cut by explicit key tuples
+instead (``cut_rows``): the rows are then shuffled once, as they are.
 """
 
 from __future__ import annotations
@@ -16,13 +20,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from corpusprep.functions.arrays import search_sorted
+from corpusprep.operators.lookup import lookup_join
 from corpusprep.session import stage
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 65_536  # cuts are part of the plan, so their number is bounded
 _OVERSAMPLE = 8
 _SEED = 42
-_BUCKET, _KEY = "__bucket", "__key"
+_BUCKET, _KEY, _PLACE = "__bucket", "__key", "__place"
 
 
 def micros(ts: Column) -> Column:
@@ -44,7 +49,8 @@ class Cuts:
         if not self.tuples:
             return F.lit(0)
         cuts = F.from_json(F.lit(f"[{','.join(self.tuples)}]"), f"array<{self.kind}>")
-        return search_sorted(cuts, _tuple(keys), len(self.tuples))
+        # Never null, so that no reader of the bucket adds a filter of its own below the shuffle.
+        return F.coalesce(search_sorted(cuts, _tuple(keys), len(self.tuples)), F.lit(0))
 
 
 def _tuple(keys: Sequence[Column]) -> Column:
@@ -90,6 +96,22 @@ def order_bucket(df: DataFrame, order: Sequence[Column], rows_per_bucket: int |
     return cut_rows(df, order, rows_per_bucket).bucket(order)
 
 
+def ranged(df: DataFrame, order: Sequence[str | Column], parts: int | None = None) -> DataFrame:
+    """``df`` staged in range partitions along ``order``: adds ``__bucket``, the partition, and ``__place`` in it."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    staged = stage(rows.withColumn("__id", F.monotonically_increasing_id()), "ranged")
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return staged.select(
+        *[F.col(f"`{c}`") for c in df.columns], F.shiftright("__id", 33).cast("int").alias(_BUCKET), place.alias(_PLACE)
+    )
+
+
+def _key(by: Sequence[str]) -> Column:
+    """The group of a row; a struct compares null-safely."""
+    return F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
+
+
 def running(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -118,17 +140,19 @@ def running(
     """
     totals = dict(totals or {})
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    if bucket is None:
-        # Cuts hold the groups' keys too: short groups stay whole, long ones are cut.
-        bucket = order_bucket(df, [*[F.col(c) for c in by], *order], rows_per_bucket)
-    # A struct compares null-safely and keeps the partitioning usable by the join.
-    key = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
+    along = [*[F.col(c) for c in by], *order]
+    key = _key(by)
     if derive:
+        if bucket is None:
+            # Cuts hold the groups' keys too: short groups stay whole, long ones are cut.
+            bucket = order_bucket(df, along, rows_per_bucket)
         # The bucket is named above the shuffle, so that both readers need the
         # same columns below it and the shuffle is reused.
         tagged = df.repartition(*([key] if by else []), bucket).withColumns({_KEY: key, _BUCKET: bucket, **derive})
-    else:
+    elif bucket is not None:
         tagged = df.withColumns({_KEY: key, _BUCKET: bucket})
+    else:
+        tagged, order = ranged(df, along).withColumn(_KEY, key), [F.col(_PLACE)]
 
     part = tagged.groupBy(_KEY, _BUCKET).agg(
         *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()],
@@ -171,34 +195,36 @@ def global_index(
     total: str | None = None,
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Zero-based position of each row along ``order``; ``total`` adds the row count."""
-    totals = {total: (F.count(F.lit(1)), "sum")} if total else None
-    return running(df, order, {out: F.lit(1).cast("bigint")}, by, totals, bucket)
-
+    """Zero-based position of each row along ``order``, within its ``by`` group; ``total`` adds the row count.
 
-def ranged_index(df: DataFrame, order: Sequence[str | Column], out: str = "pos") -> DataFrame:
-    """``global_index`` for keys that have no integral image (strings, mixed directions).
-
-    Rows are range-partitioned and sorted, staged once in the shared folder
-    with their place in the partition, and shifted by the partition starts.
+    A position is the place in the range partition plus the partition's start.
+    ``order`` may mix directions and types; it should identify a row, else
+    equal rows are numbered in any order.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_df = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    staged = stage(sorted_df.withColumn("__id", F.monotonically_increasing_id()), "ranged")
-    part = F.shiftright("__id", 33)
-    # One row per range partition, so the broadcast is bounded by their number.
-    starts = (
-        staged.groupBy(part.alias("__p"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__p", F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)).alias("__start"))
-    )
-    local = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        staged.withColumn("__p", part)
-        .join(F.broadcast(starts), "__p")
-        .select(*[c for c in df.columns if c != out], (local + F.coalesce("__start", F.lit(0))).alias(out))
+    if bucket is not None:
+        totals = {total: (F.count(F.lit(1)), "sum")} if total else None
+        return running(df, order, {out: F.lit(1).cast("bigint")}, by, totals, bucket)
+    kept = [c for c in df.columns if c not in (out, total)]
+    rows = ranged(df, [*by, *order]).withColumn(_KEY, _key(by))
+    # One row for each partition that a group reaches into: the group's rows there, and those before.
+    here = rows.groupBy(_KEY, _BUCKET).agg(F.count(F.lit(1)).alias("__n"), F.min(_PLACE).alias("__first"))
+    group = W.partitionBy(_KEY)
+    before = F.sum("__n").over(group.orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1))
+    starts = here.select(
+        F.col(_KEY),
+        F.col(_BUCKET),
+        (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__start"),
+        *([F.sum("__n").over(group).alias(total)] if total else []),
     )
+    bound = None if by else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Salting is not needed: a partition bounds the rows of each key.
+    joined = lookup_join(rows.select(*kept, _KEY, _BUCKET, _PLACE), starts, [_KEY, _BUCKET], "inner", bound, salts=1)
+    return joined.select(*kept, (F.col(_PLACE) + F.col("__start")).alias(out), *([total] if total else []))
+
+
+def ranged_index(df: DataFrame, order: Sequence[str | Column], out: str = "pos") -> DataFrame:
+    """``global_index`` of the whole table, for any order."""
+    return global_index(df, order, out=out)
 
 
 def cut_key(df: DataFrame, key: str, fraction: float) -> int | None:

@@ -19,8 +19,8 @@ def shuffle(df: DataFrame, ids: Sequence[str], seed: int, epoch: int | Column =
     ``ids`` identify a row. With ``by`` each group is permuted on its own.
     """
     epoch = F.lit(epoch) if isinstance(epoch, int) else epoch
-    keyed = df.withColumn("__digest", seeded_key(seed, epoch, *[F.col(c) for c in ids]))
-    return global_index(keyed, ["__digest", *ids], by=by).drop("__digest")
+    digest = seeded_key(seed, epoch, *[F.col(c) for c in ids])
+    return global_index(df, [digest, *ids], by=by)
 
 
 def file_shuffle(df: DataFrame, file: str, order: Sequence[str], seed: int, epoch: int = 0) -> DataFrame:
