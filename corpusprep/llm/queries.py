@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import decontaminate, embeddings, hilbert, langid, lm, orc_tokens, quality, secrets, sentencepieces, simhash
+from corpusprep.llm import decontaminate, embeddings, hilbert, langid, lm, merkle, mixing, negatives, orc_tokens, quality, secrets, sentencepieces, simhash
 from corpusprep.llm.common import table, tokenizer_file
 
 
@@ -48,6 +48,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.op11(table(spark, sf_dir, "documents"))
+
+
+def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op12(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.op13(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,7 +73,14 @@ QUERIES = {
         op8_language_id,
         op9_quality,
         op10_simhash,
+        op11_merkle_manifest,
+        op12_mixture,
+        op13_hard_negatives,
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_mixture": mixing.SQL,
+    "op13_hard_negatives": negatives.SQL,
+}
