@@ -7,7 +7,7 @@ import os
 
 import duckdb
 
-KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
