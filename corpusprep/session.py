@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,9 +60,28 @@ def clear_staged(spark: SparkSession) -> None:
     remove(spark, _stage_dir(spark))
 
 
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
 def stage_path(spark: SparkSession, label: str = "stage") -> str:
     """A new place in the shared folder, below the one that ``clear_staged`` deletes."""
-    return f"{_stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES.get()[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end; for jobs that go on for long."""
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for path in paths:
+            remove(spark, path)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
