@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusprep.functions.arrays import inputs_of, labels_of, search_sorted, stop_at_eos
 from corpusprep.functions.sampling import uniform
 from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
+from corpusprep.operators.order import running
 from corpusprep.session import stage
 
 STEPS_PER_STAGE = 10
@@ -112,24 +113,21 @@ def draw_tables(pairs: DataFrame, temperature: float) -> tuple[DataFrame, DataFr
     The followers of a token lie end to end, each as long as its weight, and
     that line is cut into equally long chunks. A draw lands in every chunk
     equally often, so the chunks spread a token that many draws start from;
-    tokens that are frequent get several even when few tokens follow them.
+    tokens that are frequent get several even when few tokens follow them. The
+    line of a token with very many followers is laid in several range partitions.
     """
-    along = W.partitionBy("prev").orderBy("next")
-    weight = F.pow("n", F.lit(1.0 / temperature))
-    edges = pairs.select(
-        F.col("prev").alias("state"),
-        "next",
-        "n",
-        F.sum(weight).over(along.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("edge"),
-        F.coalesce(F.sum(weight).over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)).alias("low"),
+    weighted = pairs.select(
+        F.col("prev").alias("state"), "next", "n", F.pow("n", F.lit(1.0 / temperature)).alias("weight")
     )
+    laid = stage(running(weighted, ["next"], {"low": F.col("weight")}, by=["state"]), "edges")
+    edges = laid.select("state", "next", "n", (F.col("low") + F.col("weight")).alias("edge"), "low")
     hot = F.sum("n") * HOT_SHARE > pairs.agg(F.sum("n")).scalar()
     spread = F.when(hot, LEAST_CHUNKS).otherwise(1)
     states = edges.groupBy("state").agg(
         F.max("edge").alias("total"),
         F.greatest(spread, F.ceil(F.count(F.lit(1)) / CHUNK_SIZE).cast("int")).alias("chunks"),
     )
-    placed = edges.join(states, "state")
+    placed = lookup_join(edges, states, "state", "inner")
     cover = F.sequence(chunk_of(F.col("low")), chunk_of(F.col("edge")))
     rows = F.array_sort(F.collect_list(F.struct("edge", "next")))
     chunks = (

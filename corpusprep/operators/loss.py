@@ -45,6 +45,29 @@ def eval_loss(df: DataFrame, loss: str, mask: str, n: int = EVAL_BATCHES) -> Dat
     )
 
 
+def moving_eval_loss(
+    df: DataFrame, loss: str, mask: str, evaluations: int, n: int = EVAL_BATCHES
+) -> DataFrame:
+    """``(evaluation, val_loss, batches)`` of evaluations that go on through the batches.
+
+    Evaluation 0 takes the first ``n`` batches, each later one the next ``n``.
+    The one that reaches the end takes fewer, and the next starts over; one
+    that finds no batch left gives no row and starts over all the same. So the
+    windows recur every ``floor(batches / n) + 1`` evaluations. Each batch's
+    mean is taken once, however often its window recurs.
+    """
+    means = df.groupBy("batch_id").agg(masked_mean(F.col(loss), F.col(mask)).alias("__mean"))
+    # One row for each window: what a batch contributes is summed before it is repeated.
+    window = F.floor(F.col("batch_id") / n).alias("__window")
+    sums = means.groupBy(window).agg(F.sum("__mean").alias("__sum"), F.count(F.lit(1)).alias("batches"))
+    cycle = F.floor(means.agg(F.count(F.lit(1))).scalar() / n) + 1
+    last = F.lit(evaluations - 1).cast("bigint")
+    due = F.when(F.col("__window") <= last, F.sequence(F.col("__window"), last, cycle))
+    return sums.withColumn("evaluation", F.explode(due)).select(
+        "evaluation", (F.col("__sum") / F.col("batches")).alias("val_loss"), "batches"
+    )
+
+
 def val_delta(val: DataFrame, train: DataFrame, on: Sequence[str], loss: str = "loss") -> DataFrame:
     """Validation loss minus training loss of the same step."""
     left = val.select(*on, F.col(loss).alias("val_loss"))

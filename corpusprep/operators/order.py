@@ -217,8 +217,7 @@ def global_index(
         *([F.sum("__n").over(group).alias(total)] if total else []),
     )
     bound = None if by else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Salting is not needed: a partition bounds the rows of each key.
-    joined = lookup_join(rows.select(*kept, _KEY, _BUCKET, _PLACE), starts, [_KEY, _BUCKET], "inner", bound, salts=1)
+    joined = lookup_join(rows.select(*kept, _KEY, _BUCKET, _PLACE), starts, [_KEY, _BUCKET], "inner", bound, skewed=False)
     return joined.select(*kept, (F.col(_PLACE) + F.col("__start")).alias(out), *([total] if total else []))
 
 

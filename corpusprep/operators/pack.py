@@ -6,19 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusprep.operators.dense import dense_vocabulary
+from corpusprep.operators.lookup import BROADCAST_BYTES
 from corpusprep.operators.order import _BUCKET, running
 from corpusprep.operators.tokens import to_ids
 
 
+_TOKEN_BYTES = 16
 DOCS_PER_BUCKET = 20_000  # rows here are whole texts, so buckets hold fewer of them
 
 
-def _place(df: DataFrame, order: Sequence[str | Column], ids: Column, bucket: Column | None) -> DataFrame:
-    """``__ids`` of each row with ``__at``, their offset in the whole stream, and the span of the row's bucket."""
+def _place(
+    df: DataFrame, order: Sequence[str | Column], ids: Column, bucket: Column | None, count: Column | None = None
+) -> DataFrame:
+    """``__ids`` of each row with ``__at``, their offset in the whole stream, and the span of the row's bucket.
+
+    ``count`` may say more cheaply how many ids there are.
+    """
     return running(
         df,
         order,
-        {"__at": F.size("__ids").cast("bigint")},
+        {"__at": (F.size("__ids") if count is None else count).cast("bigint")},
         bucket=bucket,
         span="__at",
         derive={"__ids": ids},
@@ -90,11 +98,20 @@ def pack_tokens(
     bucket: Column | None = None,
     bound: int | None = None,
 ) -> DataFrame:
-    """``pack`` of token strings, looked up in ``vocab`` on the way."""
+    """``pack`` of token strings, looked up in ``vocab`` on the way.
+
+    A vocabulary that every worker can hold turns whole arrays into ids where
+    they lie. A larger one is joined, with a row for each token of a piece.
+    ``bound`` says how many tokens the vocabulary has at most, if that is known.
+    """
+    known = bound is not None and bound * _TOKEN_BYTES > BROADCAST_BYTES
+    table = None if known else dense_vocabulary(vocab)
+    if table is not None:
+        return _assemble(_place(df, order, table.encode(tokens), bucket, F.size(tokens)), length)
 
     def look_up(pieces: DataFrame) -> DataFrame:
         long = pieces.select(_BUCKET, "seq_id", "at", F.posexplode("ids").alias("k", "token"))
-        known = to_ids(long, vocab, bound=bound)
-        return known.select(_BUCKET, "seq_id", (F.col("at") + F.col("k")).alias("at"), F.array("id").alias("ids"))
+        found = to_ids(long, vocab, bound=bound)
+        return found.select(_BUCKET, "seq_id", (F.col("at") + F.col("k")).alias("at"), F.array("id").alias("ids"))
 
     return _assemble(_place(df, order, tokens, bucket), length, look_up)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -62,13 +62,13 @@ def special_ids(vocab: DataFrame, eos: str = EOS, pad: str = "<pad>") -> DataFra
 
 
 def pad_vocab(vocab: DataFrame, multiple: int) -> DataFrame:
-    """``(token, id)`` with ``<pad_i>`` entries up to a multiple of ``multiple``."""
-    seen = vocab.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))).scalar()
-    pads = vocab.sparkSession.range(multiple).filter(F.col("id") < pad_amount(seen["n"], multiple))
+    """``(token, id)`` with ``<pad_i>`` entries until all ids, the special ones included, are a multiple of ``multiple``."""
+    top = F.coalesce(vocab.agg(F.max("id")).scalar(), F.lit(FIRST_ID - 1))
+    pads = vocab.sparkSession.range(multiple).filter(F.col("id") < pad_amount(top + 1, multiple))
     return vocab.select("token", "id").unionByName(
         pads.select(
             F.format_string("<pad_%d>", F.col("id")).alias("token"),
-            (F.coalesce(seen["top"], F.lit(-1)) + 1 + F.col("id")).cast("int").alias("id"),
+            (top + 1 + F.col("id")).cast("int").alias("id"),
         )
     )
 
@@ -154,6 +154,16 @@ class JsonTokenizer:
         return self._inner.decode_batch(ids, skip_special_tokens=True)
 
 
+def _where_present(rows: pd.Series, run: Callable[[list], list]) -> pd.Series:
+    """``run`` over the rows that are not null; null rows stay null."""
+    out = pd.Series([None] * len(rows), index=rows.index, dtype=object)
+    present = rows.notna()
+    kept = rows[present].tolist()
+    if kept:
+        out[present] = pd.Series(run(kept), index=rows.index[present], dtype=object)
+    return out
+
+
 def encode_with(tokenizer: Tokenizer, text: Column) -> Column:
     """Ids of a text column by a user's tokenizer, without special tokens."""
 
@@ -161,7 +171,7 @@ def encode_with(tokenizer: Tokenizer, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer.load()
         for texts in batches:
-            yield pd.Series(tokenizer.encode_batch(texts.tolist()), index=texts.index)
+            yield _where_present(texts, tokenizer.encode_batch)
 
     return run(text)
 
@@ -173,6 +183,6 @@ def decode_with(tokenizer: Tokenizer, ids: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer.load()
         for rows in batches:
-            yield pd.Series(tokenizer.decode_batch([[int(i) for i in row] for row in rows]), index=rows.index)
+            yield _where_present(rows, lambda kept: tokenizer.decode_batch([[int(i) for i in row] for row in kept]))
 
     return run(ids)

@@ -1,8 +1,8 @@
 """The registered queries and the SQL each is checked against."""
 
-from corpusprep.plans import batches, losses, model, runs, text, vectors
+from corpusprep.plans import batches, files, losses, model, runs, streams, text, vectors
 
-_PARTS = (text, batches, losses, model, runs, vectors)
+_PARTS = (text, batches, losses, model, runs, vectors, files, streams)
 
 
 def all_queries() -> dict:

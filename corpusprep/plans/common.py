@@ -8,11 +8,11 @@ from corpusprep.functions.text import NON_BLANK, is_blank, words
 from corpusprep.operators.order import micros
 from corpusprep.operators.split import document_lines
 from corpusprep.operators.tokens import build_vocab, count_tokens, text_tokens
+from corpusprep.session import stage
 from corpusprep.sources.documents import read_documents, read_table
 
 SEED = 42
 SEQ_LEN = 64
-VOCAB_SIZE = 2000
 DIMS = 64
 
 TOKENS = text_tokens  # word tokens of a text, ``<eos>`` after each non-blank line
@@ -27,7 +27,8 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return build_vocab(count_tokens(docs(spark, sf), words(F.col("text"))), VOCAB_SIZE)
+    """The whole vocabulary, counted and ranked once."""
+    return stage(build_vocab(count_tokens(docs(spark, sf), words(F.col("text")))), "vocab")
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,8 +91,7 @@ counts AS (
 
 SQL_VOCAB = f"""{SQL_COUNTS},
 vocab AS (
-  SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS id, n
-  FROM counts QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {VOCAB_SIZE}
+  SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS id, n FROM counts
 )"""
 
 SQL_IDS = f"""{SQL_TOKENS}, {SQL_VOCAB},

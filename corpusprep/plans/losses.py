@@ -5,16 +5,27 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusprep.functions.arrays import cross_entropy, softmax
-from corpusprep.operators.batch import leading_batches
-from corpusprep.operators.loss import eval_loss, masked_mean, mean_loss, pad_mask, perplexity, val_delta
+from corpusprep.functions.sql import register_sql
+from corpusprep.operators.batch import batch, leading_batches
+from corpusprep.operators.loss import (
+    eval_loss,
+    masked_mean,
+    mean_loss,
+    moving_eval_loss,
+    pad_mask,
+    perplexity,
+    score_with,
+    val_delta,
+)
 from corpusprep.operators.metrics import number_steps
 from corpusprep.operators.order import micros
 from corpusprep.operators.sample import TEMPERATURE, sample_categorical, sample_logits
-from corpusprep.plans.common import SEED, embeddings, millionths, r6
+from corpusprep.plans.common import DIMS, SEED, embeddings, millionths, r6
 from corpusprep.sources.documents import read_table
 
 PAD = 0
 EVAL_BATCH = 16
+EVALUATIONS = 9
 
 
 def _losses(spark, sf):
@@ -39,6 +50,13 @@ def validation_loss(spark, sf):
     return eval_loss(batched, "loss", "mask").select(r6(F.col("val_loss")).alias("val_loss"), "batches")
 
 
+def moving_validation_loss(spark, sf):
+    """Evaluations that go on through all batches and start over."""
+    batched = batch(_losses(spark, sf), ["vec_id"], EVAL_BATCH)
+    found = moving_eval_loss(batched, "loss", "mask", EVALUATIONS)
+    return found.select("evaluation", r6(F.col("val_loss")).alias("val_loss"), "batches")
+
+
 def mean_perplexity(spark, sf):
     return _losses(spark, sf).agg(r6(perplexity(F.col("loss"))).alias("perplexity"))
 
@@ -47,6 +65,40 @@ def probabilities(spark, sf):
     return embeddings(spark, sf).select("vec_id", millionths(softmax(F.col("embedding"), TEMPERATURE)).alias("probs"))
 
 
+def linear_model():
+    """A user's model: loaded once in each task, it gets batches and gives batches."""
+    import numpy as np
+
+    weights = np.arange(1, DIMS + 1, dtype=np.float64)
+
+    def score(batches):
+        for rows in batches:
+            logits = np.stack(rows["embedding"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, DIMS))
+            rows = rows[["vec_id"]].assign(score=logits @ weights, best=logits.argmax(1) if len(rows) else [])
+            yield rows
+
+    return score
+
+
+def model_scores(spark, sf):
+    rows = embeddings(spark, sf).select("vec_id", "embedding")
+    scored = score_with(rows, linear_model, "vec_id bigint, score double, best int")
+    return scored.withColumn("score", r6(F.col("score")))
+
+
+def sql_functions(spark, sf):
+    """The same functions called from SQL."""
+    register_sql(spark)
+    z = "CAST(embedding AS ARRAY<DOUBLE>)"
+    return embeddings(spark, sf).selectExpr(
+        "vec_id",
+        f"round(cross_entropy({z}, label), 6) AS loss",
+        f"round(softmax({z}, 1D)[label], 6) AS prob",
+        f"round(rms_normalize({z})[0], 6) AS first",
+        "round_up(vec_id, 128) AS rounded",
+    )
+
+
 def draws_long(spark, sf):
     long = embeddings(spark, sf).select("vec_id", F.posexplode("embedding").alias("item", "logit"))
     return sample_categorical(long, ["vec_id"], "item", F.col("logit").cast("double"), SEED)
@@ -77,7 +129,10 @@ QUERIES = {
     "masked_mean_loss": masked_mean_loss,
     "mean_loss": plain_mean_loss,
     "eval_loss": validation_loss,
+    "moving_eval_loss": moving_validation_loss,
     "perplexity": mean_perplexity,
+    "score_with": model_scores,
+    "sql_functions": sql_functions,
     "softmax_probs": probabilities,
     "sample_categorical": draws_long,
     "sample_logits": draws_array,
@@ -116,7 +171,25 @@ SQL = {
           SELECT pos // {EVAL_BATCH} AS b, sum(loss * mask) / (sum(mask) + CAST(1e-6 AS DOUBLE)) AS m
           FROM placed WHERE pos // {EVAL_BATCH} < n // {EVAL_BATCH} AND pos // {EVAL_BATCH} < 20 GROUP BY b)
         SELECT round(avg(m), 6) AS val_loss, count(*) AS batches FROM means HAVING count(*) > 0""",
+    "moving_eval_loss": f"""WITH {_LOSSES},
+        placed AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos, count(*) OVER () AS n FROM losses),
+        means AS (
+          SELECT pos // {EVAL_BATCH} AS b, any_value(n) // {EVAL_BATCH} AS total,
+                 sum(loss * mask) / (sum(mask) + CAST(1e-6 AS DOUBLE)) AS m
+          FROM placed WHERE pos // {EVAL_BATCH} < n // {EVAL_BATCH} GROUP BY pos // {EVAL_BATCH})
+        SELECT evaluation, round(avg(m), 6) AS val_loss, count(*) AS batches
+        FROM means JOIN range({EVALUATIONS}) r(evaluation) ON evaluation % (total // 20 + 1) = b // 20
+        GROUP BY evaluation""",
     "perplexity": f"WITH {_LOSSES} SELECT round(exp(avg(loss)), 6) AS perplexity FROM losses",
+    "score_with": f"""
+        SELECT vec_id, round(list_inner_product(z, [CAST(i AS DOUBLE) FOR i IN range(1, {DIMS + 1})]), 6) AS score,
+               CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS best
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS z FROM embeddings)""",
+    "sql_functions": f"""WITH {_LOSSES},
+        norms AS (SELECT vec_id, sqrt(list_sum([x * x FOR x IN z]) / len(z) + CAST(1e-6 AS DOUBLE)) AS rms, z FROM logits)
+        SELECT vec_id, round(loss, 6) AS loss, round(exp(-loss), 6) AS prob, round(z[1] / rms, 6) AS first,
+               (vec_id + 127) // 128 * 128 AS rounded
+        FROM losses JOIN norms USING (vec_id)""",
     "softmax_probs": f"""
         WITH scaled AS (
           SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x / {_T}) AS z FROM embeddings),

@@ -63,9 +63,7 @@ def trailing_mean_loss(spark, sf):
 
 def cumulative_throughput(spark, sf):
     rated = cumulative_rate(run_log(spark, sf), F.lit(SEQ_LEN - 1))
-    return rated.filter(F.col("ts") > F.col("t0")).select(
-        "run", "event_id", "tokens_seen", r6(F.col("rate")).alias("rate")
-    )
+    return rated.select("run", "event_id", "tokens_seen", r6(F.col("rate")).alias("rate"))
 
 
 def interval_throughput(spark, sf):
@@ -151,7 +149,7 @@ SQL = {
     "cumulative_rate": f"""WITH {SQL_LOG}
         SELECT run, event_id, {SEQ_LEN - 1} * (pos + 1) AS tokens_seen,
                round({SEQ_LEN - 1} * (pos + 1) / greatest({_D('1e-9')}, (ts - t0) / {_D('1e6')}), 6) AS rate
-        FROM steps WHERE ts > t0""",
+        FROM steps""",
     "interval_rate": f"""WITH {SQL_LOG},
         due AS (SELECT *, pos // {RATE_INTERVAL} AS interval_no FROM steps WHERE (pos + 1) % {RATE_INTERVAL} = 0),
         timed AS (SELECT *, lag(ts) OVER (PARTITION BY run ORDER BY interval_no) AS before FROM due)

@@ -6,18 +6,22 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.arrays import drop_special, stop_at_eos, truncate_context
 from corpusprep.functions.text import NON_BLANK, byte_ids, is_blank, words
+from corpusprep.operators.dense import dense_vocabulary
 from corpusprep.operators.loss import pad_mask, shift_tokens
 from corpusprep.operators.pack import pack, pack_tokens
 from corpusprep.operators.split import document_lines, split_by_bytes, split_by_rank
 from corpusprep.operators.tokens import (
     EOS,
     EOS_ID,
+    FIRST_ID,
+    UNK,
     UNK_ID,
     append_eos,
     build_vocab,
     count_tokens,
     decode,
     pad_vocab,
+    special_ids,
     text_tokens,
     to_ids,
 )
@@ -30,18 +34,17 @@ from corpusprep.plans.common import (
     SQL_PACKED,
     SQL_TOKENS,
     SQL_VOCAB,
-    VOCAB_SIZE,
     docs,
     joined,
     lines,
     vocab,
 )
-from corpusprep.session import stage
 from corpusprep.sources.documents import read_table
 
 CONTEXT = 32
 NEW_TOKENS = 16
 PAD_MULTIPLE = 128
+VOCAB_SIZE = 2000
 
 
 def doc_lines(spark, sf):
@@ -52,6 +55,18 @@ def drop_blank_lines(spark, sf):
     return lines(spark, sf)
 
 
+def drop_blank_pieces(spark, sf):
+    """Texts cut at full stops: after the last one, and between two, there is nothing or white space."""
+    pieces = docs(spark, sf).select("doc_id", F.posexplode(F.split("text", r"\.", -1)).alias("piece_no", "piece"))
+    return pieces.filter(~is_blank(F.col("piece")))
+
+
+def special_token_ids(spark, sf):
+    """Ids of the closing and the padding token; this vocabulary has no padding token."""
+    special = spark.createDataFrame([(UNK, UNK_ID), (EOS, EOS_ID)], "token string, id int")
+    return special_ids(vocab(spark, sf).select("token", "id").unionByName(special))
+
+
 def encode_words(spark, sf):
     ids = append_eos(words(F.col("line")), EOS)
     return lines(spark, sf).select("doc_id", "line_no", joined(ids).alias("tokens"))
@@ -73,7 +88,8 @@ def split_lines_by_bytes(spark, sf):
 
 
 def vocabulary(spark, sf):
-    return vocab(spark, sf)
+    """The optional cap: the most frequent tokens only."""
+    return build_vocab(count_tokens(docs(spark, sf), words(F.col("text"))), VOCAB_SIZE)
 
 
 def whole_vocabulary(spark, sf):
@@ -89,16 +105,19 @@ def _tokens(spark, sf):
 
 
 def token_ids(spark, sf):
-    return to_ids(_tokens(spark, sf), vocab(spark, sf), bound=VOCAB_SIZE)
+    return to_ids(_tokens(spark, sf), vocab(spark, sf))
 
 
 def decode_lines(spark, sf):
-    per_line = lines(spark, sf).select(
-        "doc_id", "line_no", F.posexplode(append_eos(words(F.col("line")), EOS)).alias("pos", "token")
-    )
-    table = stage(vocab(spark, sf), "vocab")
-    ids = to_ids(per_line, table, bound=VOCAB_SIZE)
-    return decode(ids, table, ["doc_id", "line_no"], "pos", bound=VOCAB_SIZE)
+    """Each line to ids and back, as whole arrays; the words come back, the closing token does not."""
+    table = vocab(spark, sf)
+    tokens = append_eos(words(F.col("line")), EOS)
+    dense = dense_vocabulary(table)
+    if dense is not None:
+        ids = lines(spark, sf).select("doc_id", "line_no", dense.encode(tokens).alias("ids"))
+        return ids.select("doc_id", "line_no", dense.decode(F.col("ids")).alias("text"))
+    per_line = lines(spark, sf).select("doc_id", "line_no", F.posexplode(tokens).alias("pos", "token"))
+    return decode(to_ids(per_line, table), table, ["doc_id", "line_no"], "pos")
 
 
 def pack_sequences(spark, sf):
@@ -113,7 +132,6 @@ def pack_token_ids(spark, sf):
         text_tokens(F.col("text")),
         vocab(spark, sf),
         SEQ_LEN,
-        bound=VOCAB_SIZE,
     )
     return packed.select("seq_id", joined(F.col("ids"), ",").alias("ids"))
 
@@ -156,6 +174,8 @@ def without_special(spark, sf):
 QUERIES = {
     "doc_lines": doc_lines,
     "drop_blank_lines": drop_blank_lines,
+    "drop_blank_pieces": drop_blank_pieces,
+    "special_ids": special_token_ids,
     "encode_words": encode_words,
     "encode_bytes": encode_bytes,
     "split_by_rank": split_documents_by_rank,
@@ -184,6 +204,15 @@ doc_tokens AS (
 SQL = {
     "doc_lines": f"WITH {SQL_LINES} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM raw_lines",
     "drop_blank_lines": f"WITH {SQL_KEPT} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM kept",
+    "drop_blank_pieces": f"""
+        SELECT doc_id, CAST(piece_no AS INTEGER) AS piece_no, piece
+        FROM (SELECT doc_id, unnest(parts) AS piece, generate_subscripts(parts, 1) - 1 AS piece_no
+              FROM (SELECT doc_id, string_split(text, '.') AS parts FROM documents))
+        WHERE regexp_matches(piece, '{NON_BLANK}')""",
+    "special_ids": f"""WITH {SQL_VOCAB},
+        every AS (SELECT token, id FROM vocab UNION ALL VALUES ('{UNK}', {UNK_ID}), ('{EOS}', {EOS_ID})),
+        found AS (SELECT max(id) FILTER (token = '{EOS}') AS eos_id, max(id) FILTER (token = '<pad>') AS pad_id FROM every)
+        SELECT CAST(eos_id AS INTEGER) AS eos_id, CAST(coalesce(pad_id, eos_id) AS INTEGER) AS pad_id FROM found""",
     "encode_words": f"""WITH {SQL_TOKENS}
         SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, array_to_string(toks, ' ') AS tokens FROM line_tokens""",
     "encode_bytes": f"""WITH {SQL_LINES},
@@ -212,16 +241,16 @@ SQL = {
         SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end",
                CASE WHEN "end" <= cut THEN 'train' ELSE 'val' END AS split
         FROM located WHERE "end" <= cut OR start > cut""",
-    "build_vocab": f"WITH {SQL_VOCAB} SELECT token, id, n FROM vocab",
+    "build_vocab": f"WITH {SQL_VOCAB} SELECT token, id, n FROM vocab WHERE id < {VOCAB_SIZE + FIRST_ID}",
     "build_vocab_uncapped": f"""WITH {SQL_COUNTS}
         SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS id, n FROM counts""",
     "pad_vocab": f"""WITH {SQL_VOCAB},
-        size AS (SELECT count(*) AS n, max(id) AS top FROM vocab)
+        size AS (SELECT max(id) AS top FROM vocab)
         SELECT token, id FROM vocab
         UNION ALL
         SELECT '<pad_' || i || '>' AS token, CAST(top + 1 + i AS INTEGER) AS id
         FROM size, range({PAD_MULTIPLE}) r(i)
-        WHERE i < ({PAD_MULTIPLE} - n % {PAD_MULTIPLE}) % {PAD_MULTIPLE}""",
+        WHERE i < ({PAD_MULTIPLE} - (top + 1) % {PAD_MULTIPLE}) % {PAD_MULTIPLE}""",
     "token_ids": f"WITH {SQL_IDS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, id FROM ids",
     "decode": f"""WITH {SQL_IDS}
         SELECT i.doc_id, CAST(i.line_no AS INTEGER) AS line_no,

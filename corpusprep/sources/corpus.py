@@ -13,7 +13,7 @@ from corpusprep.operators.order import MAX_BUCKETS, ranged_index
 from corpusprep.operators.pack import pack
 from corpusprep.operators.split import TRAIN_SHARE, split_by_bytes
 from corpusprep.session import stage
-from corpusprep.sources.files import exists, is_file
+from corpusprep.sources.files import any_file, is_file
 
 _BLOCK_ROW_BYTES = 256
 
@@ -26,7 +26,7 @@ def scan_text(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read
     if not is_file(spark, path):
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-        if not exists(spark, path) or not reader.text(path).inputFiles():
+        if not any_file(spark, path, ".txt"):
             raise FileNotFoundError(f"no text files in {path}")
     # File paths come percent-encoded; a plus sign stands for itself.
     file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))

@@ -254,3 +254,27 @@ def test_user_model(spark):
 
     got = score_with(spark.range(10), loader, "id bigint, score bigint").collect()
     assert {(r["id"], r["score"]) for r in got} == {(i, 3 * i) for i in range(10)}
+
+
+@pytest.mark.parametrize("batches", [0, 1, 3, 4, 8, 9])
+def test_moving_evaluation_equals_an_iterator_that_starts_over(spark, batches):
+    """The reference order: n batches an evaluation, fewer when the batches run out, then from the start."""
+    from corpusprep.operators.loss import moving_eval_loss
+
+    n, evaluations = 4, 7
+    rows = [(b, float(b * 3 + i), float(i != 1)) for b in range(batches) for i in range(3)]
+    mean = {b: sum(l * m for x, l, m in rows if x == b) / (2 + 1e-6) for b in range(batches)}
+    expect, left = [], iter(range(batches))
+    for e in range(evaluations):
+        seen = []
+        for _ in range(n):
+            try:
+                seen.append(mean[next(left)])
+            except StopIteration:
+                left = iter(range(batches))
+                break
+        if seen:
+            expect.append((e, pytest.approx(sum(seen) / len(seen)), len(seen)))
+    df = spark.createDataFrame(rows, "batch_id bigint, loss double, mask double")
+    got = moving_eval_loss(df, "loss", "mask", evaluations, n).orderBy("evaluation").collect()
+    assert [tuple(r) for r in got] == expect

@@ -62,11 +62,17 @@ def test_newest_rows_are_limited_before_the_shuffle(spark):
 
 
 def test_lookup_broadcasts_small_tables_only(spark):
-    facts, dim = spark.range(10).toDF("k"), spark.range(5).toDF("k")
+    facts, dim = spark.range(1000).toDF("k"), spark.range(5).toDF("k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         small = lookup_join(facts, dim, "k")._jdf.queryExecution().executedPlan().toString()
         large = lookup_join(facts, dim, "k", row_bytes=1 << 40)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small and "Broadcast" not in large and "__salt" in large
+    assert "BroadcastHashJoin" in small and "Broadcast" not in large
+
+
+def test_large_lookups_broadcast_hot_keys_only(spark):
+    facts = spark.range(1000).select(F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id")).alias("k"))
+    plan = lookup_join(facts, spark.range(500).toDF("k"), "k", row_bytes=1 << 40)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1 and "__spread" in plan

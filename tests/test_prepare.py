@@ -43,3 +43,24 @@ def test_pretokenized_epoch(spark):
     other = prepare_pretokenized(df, ["k"], cfg, epoch=1).collect()
     place = lambda rs: {r["k"]: (r["batch_id"], r["row_in_batch"]) for r in rs}
     assert place(rows) != place(other)
+
+
+def test_a_run_of_several_epochs(spark):
+    from corpusprep.plans.prepare import plan_pretokenized, prepare_run
+
+    df = spark.range(103).select(F.col("id").alias("k"), F.array("id").alias("input_ids"))
+    cfg = PrepareConfig(batch_size=5, grad_accum=8)
+    assert plan_pretokenized(df, cfg, epochs=3) == 6 and plan_pretokenized(df, cfg, max_steps=7) == 7
+    rows = prepare_run(df, ["k"], cfg, epochs=3).collect()
+    assert {r["step"] for r in rows} == set(range(48)) and {r["optimizer_step"] for r in rows} == set(range(6))
+    assert all(r["step"] == r["optimizer_step"] * 8 + r["micro"] for r in rows)
+    longer = prepare_run(df, ["k"], cfg, max_steps=7).collect()
+    assert len(longer) == 7 * 8 * 5 and {r["epoch"] for r in longer} == {0, 1, 2}
+
+
+def test_steps_planned_from_bytes(spark, tmp_path):
+    from corpusprep.plans.prepare import plan_text
+
+    (tmp_path / "a.txt").write_text("x" * 34_999 + "\n")
+    row = plan_text(spark, str(tmp_path), PrepareConfig(seq_len=8, batch_size=4)).first()
+    assert (row["total_bytes"], row["est_tokens"], row["steps_per_epoch"], row["total_steps"]) == (35_000, 9_000, 281, 562)

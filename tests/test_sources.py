@@ -2,17 +2,28 @@
 
 import os
 import random
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import words
 from corpusprep.operators.tokens import append_eos
-from corpusprep.sources.arrow_stream import read_pretokenized, require_length
+from corpusprep.sources import snapshot
+from corpusprep.sources.arrow_stream import read_pretokenized, require_length, write_pretokenized
 from corpusprep.sources.corpus import pack_corpus, read_corpus, split_corpus, with_byte_offsets
 from corpusprep.sources.packed import read_packed, write_packed
-from corpusprep.sources.snapshot import latest_snapshot, load_snapshot, save_snapshot, snapshot_steps
+from corpusprep.sources.snapshot import (
+    commit_snapshot,
+    latest_snapshot,
+    load_snapshot,
+    prepare_snapshot,
+    remove_abandoned,
+    save_snapshot,
+    snapshot_steps,
+)
 
 
 @pytest.fixture
@@ -137,14 +148,91 @@ def test_arrow_folder(spark, tmp_path, kind):
     assert df.dtypes == [("input_ids", "array<bigint>")]
     assert sorted(r["input_ids"] for r in df.collect()) == sorted(expect)
     assert df.rdd.getNumPartitions() == 3
+    cut = read_pretokenized(spark, str(tmp_path), split_bytes=1)
+    assert cut.rdd.getNumPartitions() == 9 and sorted(r["input_ids"] for r in cut.collect()) == sorted(expect)
     placed = read_pretokenized(spark, str(tmp_path), position=True).orderBy("file_no", "row_no").collect()
     assert [r["input_ids"] for r in placed] == expect
     assert [(r["file_no"], r["row_no"]) for r in placed] == [(i, j) for i in range(3) for j in range(5)]
     assert df.select(require_length(F.col("input_ids"), 3)).count() == 15
+    assert read_pretokenized(spark, str(tmp_path), length=3).count() == 15
+    with pytest.raises(Exception, match="expected 4 ids"):
+        read_pretokenized(spark, str(tmp_path), length=4).collect()
     with pytest.raises(Exception, match="expected 4 ids"):
         df.select(require_length(F.col("input_ids"), 4)).collect()
 
 
+def write_arrow(path, columns, kind="stream", rows=2, end=True):
+    table = pa.table(columns)
+    sink = pa.OSFile(str(path), "wb")
+    writer = (pa.ipc.new_stream if kind == "stream" else pa.ipc.new_file)(sink, table.schema)
+    writer.write_table(table, max_chunksize=rows)
+    if end:
+        writer.close()
+    sink.close()
+
+
+def lists(n, first=0, kind=pa.int32()):
+    return pa.array([[i, i + 1] for i in range(first, first + n)], pa.list_(kind))
+
+
+@pytest.mark.parametrize("kind", ["stream", "file"])
+def test_one_arrow_file_is_read_by_many_tasks(spark, tmp_path, kind):
+    write_arrow(tmp_path / "a.arrow", {"x": pa.array(range(1000)), "input_ids": lists(1000, kind=pa.int64())}, kind, 10)
+    df = read_pretokenized(spark, str(tmp_path), position=True, split_bytes=1500)
+    assert 10 < df.rdd.getNumPartitions() < 100
+    rows = df.orderBy("row_no").collect()
+    assert [r["row_no"] for r in rows] == list(range(1000)) and [r["input_ids"][0] for r in rows] == list(range(1000))
+    spread = df.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in spread) <= 100
+
+
+@pytest.mark.parametrize("kind", ["stream", "file"])
+def test_arrow_file_with_dictionaries(spark, tmp_path, kind):
+    words = pa.array(["a", "b", "a", "c"] * 5).dictionary_encode()
+    write_arrow(tmp_path / "a.arrow", {"w": words, "input_ids": lists(20)}, kind, 3)
+    df = read_pretokenized(spark, str(tmp_path), position=True, split_bytes=1)
+    assert [r["input_ids"][0] for r in df.orderBy("row_no").collect()] == list(range(20))
+
+
+@pytest.mark.parametrize(
+    "columns, message",
+    [
+        ({"ids": lists(2), "tail": lists(2)}, "b.arrow has no column 'input_ids'"),
+        ({"input_ids": pa.array([1, 2])}, "column 'input_ids' of .*b.arrow is int64"),
+        ({"input_ids": pa.array([["x"], []])}, "column 'input_ids' of .*b.arrow is list"),
+    ],
+)
+def test_arrow_file_without_the_column(spark, tmp_path, columns, message):
+    write_arrow(tmp_path / "a.arrow", {"input_ids": lists(2)})
+    write_arrow(tmp_path / "b.arrow", columns)
+    with pytest.raises(ValueError, match=message):
+        read_pretokenized(spark, str(tmp_path))
+
+
+def test_arrow_files_without_rows(spark, tmp_path):
+    write_arrow(tmp_path / "a.arrow", {"input_ids": lists(0)})
+    assert read_pretokenized(spark, str(tmp_path)).collect() == []
+
+
+def test_arrow_nulls_and_large_lists(spark, tmp_path):
+    rows = [[1, 2], None, [], [3]]
+    for i, kind in enumerate((pa.list_(pa.int16()), pa.large_list(pa.uint32()))):
+        write_arrow(tmp_path / f"{i}.arrow", {"input_ids": pa.array(rows, kind)})
+    found = read_pretokenized(spark, str(tmp_path), position=True).orderBy("file_no", "row_no").collect()
+    assert [r["input_ids"] for r in found] == rows * 2
+
+
+def test_arrow_written_and_overwritten(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(100).select(F.array("id", F.col("id") * 2).alias("input_ids"))
+    write_pretokenized(df.repartition(3), path)
+    write_pretokenized(df.limit(10), path)
+    assert read_pretokenized(spark, path).count() == 110
+    write_pretokenized(df.repartition(2), path, "overwrite")
+    assert sorted(r["input_ids"][0] for r in read_pretokenized(spark, path).collect()) == list(range(100))
+    assert all(name.endswith(".arrow") for name in os.listdir(path))
+
+
 def test_arrow_folder_without_files(spark, tmp_path):
     with pytest.raises(ValueError):
         read_pretokenized(spark, str(tmp_path))
@@ -157,7 +245,7 @@ def test_packed_round_trip(spark, tmp_path):
         F.when(F.col("id") < 90, "train").otherwise("val").alias("split"),
         (F.col("id") % 4).cast("int").alias("shard_id"),
     )
-    write_packed(df, str(tmp_path / "out"))
+    write_packed(df, str(tmp_path / "out"), target_bytes=200)
     back = read_packed(spark, str(tmp_path / "out"), 2)
     assert sorted(map(tuple, back.select(df.columns).collect())) == sorted(map(tuple, df.collect()))
     shard = back.filter("split = 'val' AND shard_id = 1")
@@ -165,6 +253,23 @@ def test_packed_round_trip(spark, tmp_path):
     assert shard.count() == 2
 
 
+def test_packed_files_have_similar_sizes(spark, tmp_path):
+    """A shard with most of the rows is many files, a small one is one; each is in order."""
+    shard = F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 10)
+    df = spark.range(20_000).select(
+        F.col("id").alias("seq_id"), F.array_repeat("id", 32).alias("ids"), F.lit("train").alias("split"), shard.alias("shard_id")
+    )
+    target = 400_000
+    write_packed(df, str(tmp_path / "out"), target_bytes=target)
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    rows = {f: [r.as_py() for r in pq.ParquetFile(f).read()["seq_id"]] for f in files}
+    per_shard = {s: [len(r) for f, r in rows.items() if f"shard_id={s}/" in str(f)] for s in (0, 8, 9)}
+    assert {s: len(n) for s, n in per_shard.items()} == {0: 11, 8: 2, 9: 2}
+    assert all(target / 2 < n * 32 * 8 < target * 2 for sizes in per_shard.values() for n in sizes)
+    assert all(r == sorted(r) for r in rows.values())
+    write_packed(df.limit(0), str(tmp_path / "none"))
+
+
 def test_snapshots(spark, tmp_path):
     root = str(tmp_path / "snaps")
     assert latest_snapshot(spark, root) is None
@@ -174,6 +279,54 @@ def test_snapshots(spark, tmp_path):
     assert latest_snapshot(spark, root) == 0
     for step in (5, 10, 15, 20):
         save_snapshot(spark.range(step), root, step)
-    os.makedirs(f"{root}/step=99")
     assert snapshot_steps(spark, root) == [10, 15, 20]
     assert load_snapshot(spark, root).count() == 20 and load_snapshot(spark, root, 10).count() == 10
+    with pytest.raises(FileNotFoundError):
+        load_snapshot(spark, root, 5)
+    assert len(os.listdir(f"{root}/data")) == 3
+    save_snapshot(spark.range(7), root, 20)
+    assert load_snapshot(spark, root).count() == 7 and len(os.listdir(f"{root}/data")) == 3
+
+
+def test_a_killed_save_is_never_the_latest(spark, tmp_path):
+    root = str(tmp_path / "snaps")
+    save_snapshot(spark.range(3), root, 1)
+    prepare_snapshot(spark.range(9), root, 2)  # all files are there, the manifest is not
+    broken = spark.range(8).select(F.when(F.col("id") == 5, F.raise_error(F.lit("killed"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        save_snapshot(broken, root, 3)
+    assert snapshot_steps(spark, root) == [1] and load_snapshot(spark, root).count() == 3
+    # A new attempt at the step commits its own folder; the abandoned ones can be cleared.
+    commit_snapshot(spark, root, prepare_snapshot(spark.range(4), root, 2))
+    assert latest_snapshot(spark, root) == 2 and load_snapshot(spark, root).count() == 4
+    assert len(remove_abandoned(spark, root)) == 2
+    assert load_snapshot(spark, root, 1).count() == 3 and load_snapshot(spark, root).count() == 4
+
+
+def test_a_replaced_save_that_was_killed_keeps_the_old_one(spark, tmp_path):
+    root = str(tmp_path / "snaps")
+    save_snapshot(spark.range(3), root, 1)
+    prepare_snapshot(spark.range(50), root, 1)
+    assert load_snapshot(spark, root, 1).count() == 3
+
+
+def test_a_snapshot_that_lost_a_file_is_an_error(spark, tmp_path):
+    root = str(tmp_path / "snaps")
+    path = save_snapshot(spark.range(100).repartition(4), root, 1)
+    os.unlink(sorted(Path(path).glob("*.parquet"))[0])
+    with pytest.raises(OSError, match="lacks"):
+        load_snapshot(spark, root)
+
+
+def test_dropping_takes_the_manifest_first(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "snaps")
+    save_snapshot(spark.range(3), root, 1)
+    gone = []
+    monkeypatch.setattr(snapshot, "remove", lambda spark, path: gone.append(path))
+    snapshot.drop_snapshot(spark, root, 1)
+    assert [("manifests" in p, "data" in p) for p in gone] == [(True, False), (False, True)]
+
+
+def test_empty_snapshot_keeps_its_columns(spark, tmp_path):
+    save_snapshot(spark.range(0).toDF("k"), str(tmp_path / "s"), 1)
+    assert load_snapshot(spark, str(tmp_path / "s")).dtypes == [("k", "bigint")]
