@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 128 << 20
+UNBOUNDED = 1 << 62  # rows of a table that is never broadcast
 _HOT_KEYS, _TRACKED = 4096, 65_536  # most keys that are called hot, keys that the sketch follows
 _SPREAD = 1 << 20
 
