@@ -33,7 +33,8 @@ def corpus_lines(spark, sf):
     rows = read_table(spark, sf, "documents").select("lang", "doc_id", F.replace("text", F.lit("\r"), F.lit(" ")).alias("value"))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))
     rows.repartition(SHARDS, "lang", part).select("lang", "value").write.partitionBy("lang").text(path)
-    located = with_byte_offsets(read_corpus(spark, path).lines)
+    corpus = read_corpus(spark, path)
+    located = with_byte_offsets(corpus.lines, corpus.moved)
     return located.groupBy("line", (F.col("end") - F.col("start")).alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import StructType
 
 from corpusprep.functions.text import byte_len, is_blank, repair_utf8
-from corpusprep.operators.lookup import lookup_join
+from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
 from corpusprep.operators.order import MAX_BUCKETS, ranged_index
 from corpusprep.operators.pack import pack
 from corpusprep.operators.split import TRAIN_SHARE, split_by_bytes
@@ -44,11 +48,13 @@ class Corpus:
     """``lines`` of all files, and how many files there are.
 
     ``lines`` holds ``(file, file_no, bucket, block_no, block_start, size, id, bytes, line)``;
-    ``file_no`` numbers the files in path order, ``bucket`` gathers blocks when there are very many.
+    ``file_no`` numbers the files in path order, ``bucket`` gathers blocks when there are very many;
+    ``moved`` says whether the lines left their place in the scan, which only very many blocks ask for.
     """
 
     lines: DataFrame
     n_files: int
+    moved: bool = False
 
 
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
@@ -89,11 +95,37 @@ def read_corpus(spark: SparkSession, path: str) -> Corpus:
         byte_len(F.col("value")).alias("bytes"),
         repair_utf8(F.col("value")).alias("line"),
     )
-    return Corpus(lines, n_files)
-
-
-def with_byte_offsets(df: DataFrame) -> DataFrame:
-    """Adds ``start`` and ``end`` of each line in its file, in bytes, the line end included."""
+    return Corpus(lines, n_files, n_blocks * _BLOCK_ROW_BYTES > BROADCAST_BYTES)
+
+
+def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``end`` and ``start`` of lines that come block by block, each block in order."""
+    open_, at = None, 0  # the block being read, and the bytes of its lines so far
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block, begin, size = (batch.column(c).to_numpy() for c in ("block_no", "block_start", "size"))
+        taken = batch.column("bytes").to_numpy().astype(np.int64) + 1
+        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        total = np.cumsum(taken)
+        ahead = (total - taken)[first]
+        ahead[0] -= at if block[0] == open_ else 0
+        inside = total - np.repeat(ahead, np.diff(np.append(first, len(block))))
+        open_, at = block[-1], int(inside[-1])
+        end = begin + inside
+        columns = [*batch.columns, pa.array(np.minimum(end, size)), pa.array(end - taken)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "end", "start"])
+
+
+def with_byte_offsets(df: DataFrame, moved: bool = False) -> DataFrame:
+    """Adds ``start`` and ``end`` of each line in its file, in bytes, the line end included.
+
+    Lines that lie as they were scanned are counted along where they are; only
+    lines that were ``moved`` between tasks since have to meet again.
+    """
+    if not moved:
+        kinds = StructType(df.schema.fields).add("end", "bigint").add("start", "bigint")
+        return df.mapInArrow(_offsets, kinds)
     along = W.partitionBy("block_no").orderBy("id").rowsBetween(W.unboundedPreceding, W.currentRow)
     end = F.col("block_start") + F.sum(F.col("bytes") + 1).over(along)
     return (
@@ -113,7 +145,7 @@ def split_corpus(corpus: Corpus, share: float = TRAIN_SHARE) -> DataFrame:
     """Lines with their ``split``: by files, or by bytes when the corpus is a single file."""
     if corpus.n_files > 1:
         return split_by_file(corpus, share)
-    return split_by_bytes(with_byte_offsets(corpus.lines), share)
+    return split_by_bytes(with_byte_offsets(corpus.lines, corpus.moved), share)
 
 
 def pack_corpus(df: DataFrame, ids: Column, length: int) -> DataFrame:
