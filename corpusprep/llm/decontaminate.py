@@ -11,16 +11,20 @@ equality join on hashes, in two families:
   the slots of all windows of one alignment correspond: each value of the item
   stands for one value in the document, and back.
 
-Items with fewer words are one window of all their words, if there are at
-least ``SHORTEST``. A first word may be a name or not, so a window that starts
-an item comes in both forms.
+Items with fewer words are one window of all their words. Those below
+``SHORTEST`` say too little to be a passage: they match documents that consist
+of them. A first word may be a name or not, so a window that starts an item
+comes in both forms.
 
-A Bloom filter of the benchmark's windows, of fixed size, is broadcast; it lets
-through what may match, and the join decides. It drops no match.
+A Bloom filter of the benchmark's windows, sized by their number up to 32 MB, is
+broadcast; it lets through what may match, and the join decides. It drops no
+match. Texts are read once: what the filter lets through is staged.
 
 Null or blank texts match nothing. Rows with a null id are left out of the
 matches, and stay in ``drop_contaminated``. Rows that share an id are matched
-together. An empty table or benchmark gives no matches.
+together. An empty table or benchmark gives no matches. Very long texts are cut
+into windows whole, one at a time. Further columns are ignored, and stay in
+``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -40,7 +44,8 @@ from corpusprep.llm.common import fresh
 from corpusprep.session import stage
 
 WINDOW, LITERALS, SHORTEST = 13, 7, 8
-_BLOOM_BITS, _PROBES = 1 << 23, 5  # one megabyte
+_PROBES, _BITS_PER_WINDOW = 5, 16
+_LEAST_BITS, _MOST_BITS = 1 << 23, 1 << 28  # one megabyte to 32; beyond, more windows reach the join
 _WORD = re.compile(r"[^\W_]+(?:[.,][0-9]+)*|[.!?\n]")
 # Units of measure and money.
 UNITS = frozenset(
@@ -155,10 +160,10 @@ _ROWS = "id bigint, start int, family tinyint, width int, hash bigint, slots arr
 _NAMES = ["id", "start", "family", "width", "hash", "slots"]
 
 
-def _bit(h: np.ndarray, i: int) -> np.ndarray:
-    """The i-th bit of the filter that a hash sets."""
+def _bit(h: np.ndarray, i: int, bits: int) -> np.ndarray:
+    """The i-th bit that a hash sets in a filter of ``bits`` bits, a power of two."""
     step = (h >> np.uint64(32)) | np.uint64(1)
-    return ((h + np.uint64(i) * step) & np.uint64(_BLOOM_BITS - 1)).astype(np.int64)
+    return ((h + np.uint64(i) * step) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def _batch(keys: np.ndarray, words: Words, found: Sequence[np.ndarray], n: int) -> pa.RecordBatch:
@@ -180,7 +185,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text: str = "text")
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of_texts([text])
                 n = min(WINDOW, len(words.literal))
-                if key is None or n < SHORTEST:
+                if key is None or not n:
                     continue
                 keys = np.array([key], np.int64)
                 yield _batch(keys, words, windows(words, n), n)
@@ -196,25 +201,35 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text: str = "text")
 
 
 def bloom(found: DataFrame) -> np.ndarray:
-    """Filter of the windows' hashes, as booleans; what reaches the driver is bounded by its size."""
+    """Filter of the windows' hashes as 64-bit words, sized by their number; what reaches the driver is bounded by its size."""
+    n = found.count()
+    bits = min(_MOST_BITS, max(_LEAST_BITS, 1 << (_BITS_PER_WINDOW * n).bit_length()))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column(0).to_numpy().view("u8")
-            at = np.unique(np.concatenate([_bit(h, i) for i in range(_PROBES)]))
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
+            at = np.unique(np.concatenate([_bit(h, i, bits) for i in range(_PROBES)]))
+            words, first = np.unique(at >> 6, return_index=True)
+            masks = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else at
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(masks.view("i8"))], names=["word", "mask"])
 
-    set_ = np.zeros(_BLOOM_BITS, bool)
-    set_[found.select("hash").mapInArrow(place, "at bigint").distinct().toArrow().column("at").to_numpy()] = True
-    return set_
+    set_ = found.select("hash").mapInArrow(place, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    words = set_.toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("mask").to_numpy().view("u8")
+    return out
+
+
+def _held(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (filter_[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
 def document_windows(docs: DataFrame, widths: Sequence[int], filter_: np.ndarray, id_col: str, text: str) -> DataFrame:
-    """Windows of documents that the filter lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(filter_))
+    """Windows of documents that the filter lets through; those below ``SHORTEST`` words are whole documents."""
+    shared, bits = docs.sparkSession.sparkContext.broadcast(filter_), len(filter_) << 6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(shared.value).view(bool)
+        held = shared.value
         for batch in batches:
             ids = batch.column(0)
             keys, texts = ids.fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
@@ -224,8 +239,11 @@ def document_windows(docs: DataFrame, widths: Sequence[int], filter_: np.ndarray
                 for n in widths:
                     places, families, h = windows(words, n)
                     may = np.arange(len(h))
+                    if n < SHORTEST:
+                        sizes = np.bincount(words.text, minlength=b - a)
+                        may = may[sizes[words.text[places]] == n]
                     for i in range(_PROBES):
-                        may = may[held[_bit(h[may], i)]]
+                        may = may[_held(held, _bit(h[may], i, bits))]
                     if len(may):
                         yield _batch(keys[a:b], words, (places[may], families[may], h[may]), n)
 
@@ -236,7 +254,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     """``(id, item_id, n_literal, n_template)``: windows of each document that match each item."""
     known = stage(item_windows(items.select("item_id", "text")), "windows")
     widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # WINDOW at most
-    found = document_windows(docs, widths, bloom(known), id_col, text)
+    # Staged, since both kinds of windows are looked at and texts should be read once.
+    found = stage(document_windows(docs, widths, bloom(known), id_col, text), "met")
     right = known.select(
         F.col("id").alias("item_id"), F.col("start").alias("item_start"), "family", "width", "hash", F.col("slots").alias("item_slots")
     )
