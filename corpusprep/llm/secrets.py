@@ -5,14 +5,17 @@ Everything is a Column expression; no Python runs on the executors.
 * A **base** span is a match of one of ``BASE`` that passes its length.
 * A **candidate** is a maximal run of the base-64 alphabet with a digit and a
   letter in it. Its character class (hex or base 64) sets window and threshold.
-  A window of fixed width slides over it; the entropy of the window follows
-  from the count of the character that enters and of the one that leaves. The
-  span reaches from the first window over the threshold to the last one.
+  A window of fixed width slides over it; running counts of the characters give
+  the entropy, from the one that enters and the one that leaves. The span
+  reaches from the first window over the threshold to the last one.
 * Candidates on the **allow-list**, and entropy spans inside a base span, are
   suppressed. Base spans never are.
 
 A null text counts as empty and has no spans. Offsets count code points, ends
-exclusive. Repeated rows each get their spans; nothing is kept between rows.
+exclusive. Repeated rows each get their spans and rows without an id get theirs;
+nothing is kept between rows. An empty table has none. Texts and candidates of
+any length are scanned whole: no pattern repeats a group. Further columns stay
+as they are; one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -66,15 +69,29 @@ class AllowList:
             r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs
             r"(?i)example|sample|dummy|placeholder|changeme|redacted|your[_-]",
             r"(?i)abcdefgh|01234567|12345678",
-            r"^/?[a-z]+([_/=-]+[a-z]+)*([_/=-]+[0-9]{1,4})*/?$",  # paths and names in words
         )
     )
+    paths: bool = True  # paths and names in words
 
     def holds(self, candidate: Column) -> Column:
         found = candidate.isin(*self.values) if self.values else F.lit(False)
         for pattern in self.patterns:
             found = found | candidate.rlike(pattern)
-        return found
+        return found | in_words(candidate) if self.paths else found
+
+
+def in_words(candidate: Column) -> Column:
+    """Whether a candidate is words, then numbers of up to four digits, all parted by ``_/=-``, perhaps between slashes.
+
+    Every pattern is a run of one class at a time: a repeated group would make
+    the matcher's stack as deep as the candidate is long.
+    """
+    return (
+        candidate.rlike("^/?+[a-z_/=-]++[0-9_/=-]*+$")
+        & candidate.rlike("^/?+[a-z]")
+        & candidate.rlike("[a-z0-9]/?+$")
+        & ~candidate.rlike("[a-z][0-9]|[0-9]{5}")
+    )
 
 
 def _span(kind: Column | str, start: Column, end: Column, rank: int | Column) -> Column:
@@ -126,50 +143,68 @@ def _gains(width: int) -> Column:
     return F.array(*[F.lit(x * log2(x) - ((x - 1) * log2(x - 1) if x > 1 else 0.0)) for x in range(1, width + 1)])
 
 
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+_BITS = 6  # of a character's count: windows have fewer than 64 characters
+_PER_LONG = 10
+_LONGS = -(-len(ALPHABET) // _PER_LONG)
+
+
 def hot_windows(candidate: Column, width: int, bits: float) -> Column:
     """``(first, last)``: starts of the first and the last window of at least ``bits`` entropy; -1 if none.
 
     With S = sum of c log2 c over the window's character counts c, the entropy
-    is log2(width) - S / width. One step takes the leaving character's share
-    from S and adds the entering one's.
+    is log2(width) - S / width. A step takes the leaving character's share from
+    S and adds the entering one's; both counts come from running counts of the
+    alphabet's characters, packed into a few integers.
     """
-
-    def slide(chars: Column) -> Column:
-        size = F.length(candidate)
-
-        def same(i: Column, begin: Column, count: Column) -> Column:
-            mine = F.element_at(chars, i)
-            return F.size(F.filter(F.slice(chars, begin, count), lambda c: c == mine))
-
-        places = F.sequence(F.lit(1), size)
-        entering = F.transform(
-            places, lambda i: same(i, F.greatest(i - (width - 1), F.lit(1)), F.least(i, F.lit(width)))
-        )
-        leaving = F.transform(places, lambda i: same(i, i, F.lit(width)))
-        enough = width * (log2(width) - bits) + 1e-9
-
-        def walk(counts: Column) -> Column:
-            def step(state: Column, i: Column) -> Column:
-                gain = F.element_at(_gains(width), F.element_at(counts["entering"], i))
-                loss = F.when(
-                    i > width,
-                    F.element_at(_gains(width), F.element_at(counts["leaving"], F.greatest(i - width, F.lit(1)))),
-                ).otherwise(F.lit(0.0))
-                s = state["s"] - loss + gain
-                hot = (i >= width) & (s <= enough)
-                begin = i - width
-                return F.struct(
-                    s.alias("s"),
-                    F.when(hot & (state["first"] < 0), begin).otherwise(state["first"]).alias("first"),
-                    F.when(hot, begin).otherwise(state["last"]).alias("last"),
-                )
-
-            begin = F.struct(F.lit(0.0).alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-            return F.aggregate(places, begin, step)
-
-        return let(F.struct(entering.alias("entering"), leaving.alias("leaving")), walk)
-
-    return let(F.split(candidate, "", -1), slide)
+    enough = width * (log2(width) - bits) + 1e-9
+    gains = _gains(width)
+
+    def slide(codes: Column) -> Column:
+        def place(code: Column) -> tuple[Column, Column]:
+            """Which integer holds the count of a character, and by how many bits it is shifted."""
+            return F.floor(code / _PER_LONG).cast("int"), (code % _PER_LONG) * _BITS
+
+        def count(counts: Column, code: Column) -> Column:
+            at, shift = place(code)
+            return F.call_function("shiftright", F.get(counts, at), shift).bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
+
+        def change(counts: Column, code: Column, by: int) -> Column:
+            at, shift = place(code)
+            one = F.call_function("shiftleft", F.lit(by).cast("bigint"), shift)
+            return F.transform(counts, lambda v, j: F.when(j == at, v + one).otherwise(v))
+
+        def step(state: Column, i: Column) -> Column:
+            entering, leaving = F.get(codes, i), F.get(codes, i - width)
+            full = i >= width
+            loss = F.when(full, F.element_at(gains, count(state["counts"], F.coalesce(leaving, F.lit(0))))).otherwise(F.lit(0.0))
+            rest = F.when(full, change(state["counts"], leaving, -1)).otherwise(state["counts"])
+
+            def enter(counts: Column) -> Column:
+                s = state["s"] - loss + F.element_at(gains, count(counts, entering) + 1)
+
+                def note(now: Column) -> Column:
+                    begin = i - (width - 1)
+                    hot = (begin >= 0) & (now <= enough)
+                    return F.struct(
+                        now.alias("s"),
+                        F.when(hot & (state["first"] < 0), begin).otherwise(state["first"]).alias("first"),
+                        F.when(hot, begin).otherwise(state["last"]).alias("last"),
+                        change(counts, entering, 1).alias("counts"),
+                    )
+
+                return let(s, note)
+
+            return let(rest, enter)
+
+        none = F.array(*[F.lit(0).cast("bigint")] * _LONGS)
+        begin = F.struct(F.lit(0.0).alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), none.alias("counts"))
+        places = F.sequence(F.lit(0), F.size(codes) - 1)
+        return F.aggregate(places, begin, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+
+    chars = F.split(candidate, "", -1)
+    codes = F.transform(F.slice(chars, F.lit(1), F.length(candidate)), lambda c: F.call_function("instr", F.lit(ALPHABET), c) - 1)
+    return let(codes, slide)
 
 
 def entropy_spans(text: Column, classes=CLASSES, allow: AllowList = AllowList()) -> Column:
