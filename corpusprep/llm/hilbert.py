@@ -10,17 +10,18 @@ prune whole shards.
 Law of the cut: ``rows``. Shard counts are at most one apart.
 
 Nulls count as the smallest value of their dimension. Ties on the curve are
-ordered by the tie columns; rows equal in those too are interchangeable. An
-empty table gives no rows.
+ordered by the tie columns; rows equal in those too are interchangeable. Of a
+text only its size and checksum are used, however long it is. Further columns
+are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpusprep.operators.lookup import lookup_join
 from corpusprep.operators.order import global_index, running
@@ -147,6 +148,21 @@ def write_shards(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> No
     )
 
 
+def read_shards(spark: SparkSession, path: str, ranges: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
+    """Rows of written shards with every dimension of ``bounds`` between its two values, both included.
+
+    ``ranges`` (of ``shard_ranges``) has a row for each shard: shards outside
+    the bounds are never listed, and inside the others the same filter reaches
+    the files' own statistics.
+    """
+    inside, meets = F.lit(True), F.lit(True)
+    for d, (low, high) in bounds.items():
+        inside &= F.col(d).between(F.lit(low), F.lit(high))
+        meets &= (F.col(f"max_{d}") >= F.lit(low)) & (F.col(f"min_{d}") <= F.lit(high))
+    due = [r["shard"] for r in ranges.filter(meets).select("shard").collect()]
+    return spark.read.parquet(path).filter(F.col("shard").isin(due) & inside)
+
+
 def text_size(text: Column) -> Column:
     """Bytes of the text in UTF-8, and eight for its row."""
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint")
