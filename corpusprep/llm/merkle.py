@@ -163,7 +163,7 @@ def descend(records: DataFrame, tops: DataFrame, requests: DataFrame, height: in
             wanted = requests.groupBy("tree", F.floor(F.col("place") / FANOUT).alias("place")).agg(mine)
         else:
             wanted = _wanted(requests, steps)
-        met = lookup_join(at.join(wanted, ["tree", "place"]), records, "digest", "inner", row_bytes=_BROADCAST_ROW, salts=1)
+        met = lookup_join(at.join(wanted, ["tree", "place"]), records, "digest", "inner", row_bytes=_BROADCAST_ROW, skewed=False)
         if last:
             selected = F.explode("asked")
         else:
