@@ -11,14 +11,15 @@ documents before it: the file's start, from one total per file, and the place
 inside the file.
 
 Null texts are empty documents (the end id only). Null ids come first. Rows
-that share an id stand next to each other, ordered by text. An empty table
-writes no rows and reads as none.
+that share an id stand next to each other, ordered by a hash of the text, then
+by the text. An empty table writes no rows and reads as none. Texts are encoded
+whole, a very long one by itself; one that may hold a special token of the
+tokenizer goes to the library as it is. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -26,10 +27,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from corpusprep.llm.chunks import ChunkMemory, flat, pieces
 from corpusprep.session import stage_path
 
 SCHEMA = "doc_id bigint, file int, before bigint, n_tokens bigint, ids array<int>"
@@ -44,67 +45,115 @@ _ARROW = pa.schema(
 )
 
 
-_EDGE = re.compile(r"([a-zß-öø-ÿ])([.,&*$#%!|])")
 _TOGETHER = 128
+_MOST_CHARS = 1 << 23  # bytes of words whose ids a worker keeps
+_SPECIAL = "<|"  # how the special tokens begin; the tokenizer finds them before it parts words
+_END = "<|end|>"  # begins like them, so it is in no text that is parted into words
+#: A letter and a mark after it, which the tokenizer parts anyway: fewer words are then distinct.
+_EDGE = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,;:!?&*$#%|)(\"-])"
 
 
-@lru_cache(maxsize=2)
-def word_memory(path: str) -> ChunkMemory:
-    """Chunk memory of a tokenizer file of the ``tokenizers`` library; one for each worker."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task for each core already
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode_all(chunks: list[str]) -> list[tuple]:
-        # Chunks go in together, since a call has its price; the tokens' places tell them apart again.
-        out: list[tuple] = [()] * len(chunks)
-        firsts = range(0, len(chunks), _TOGETHER)
-        groups = [chunks[i : i + _TOGETHER] for i in firsts]
-        found = tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for first, group, encoding in zip(firsts, groups, found):
-            ids = encoding.ids
-            starts = np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(ids))[::2]
-            ends = np.searchsorted(starts, np.cumsum([len(c) + 1 for c in group])).tolist()
-            for k, (begin, end) in enumerate(zip([0, *ends], ends)):
-                out[first + k] = tuple(ids[begin:end])
-        return out
-
-    return ChunkMemory(encode_all)
-
-
-def word_chunks(text: str | None) -> list[str]:
-    """Chunks of a text for a tokenizer that drops white space and case and parts words from marks.
-
-    A text is cut at spaces and line ends, and between a letter and a mark.
-    Latin text is put in lower case first, unless it might hold a special token
-    by that: fewer chunks are then new.
+class WordIds:
+    """Ids of words, laid end to end, for a tokenizer that drops white space and never joins across it.
+
+    A worker keeps the words it has met and their ids; beyond ``_MOST_CHARS`` it
+    starts over, which changes the time it takes and never the ids.
     """
-    if not text:
-        return []
-    if "<|" not in text:
-        try:
-            text.encode("latin-1")
-            text = text.lower()
-        except UnicodeEncodeError:
-            pass
-    return _EDGE.sub(r"\1 \2", text).replace("\n", " ").split(" ")
 
+    def __init__(self, path: str, end: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task for each core already
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.end = Tokenizer.from_file(path), end
+        self.start_over()
+
+    def start_over(self) -> None:
+        self._keep(pa.array([_END], pa.string()), np.array([1]), np.array([self.end], np.int32))
+
+    def _keep(self, known: pa.Array, counts: np.ndarray, ids: np.ndarray) -> None:
+        self.known, self.counts, self.ids = known, counts, ids
+        ends = np.append(0, np.cumsum(counts)).astype(np.int32)
+        self.lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+
+    def _learn(self, new: pa.Array) -> None:
+        """Encode words, many in one call, since a call has its price; the tokens' places tell them apart again."""
+        words = new.to_pylist()
+        groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        ids, counts = [self.ids], [self.counts]
+        for group, encoding in zip(groups, found):
+            n = len(encoding.ids)
+            starts = np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * n)[::2]
+            ends = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in group]))
+            ids.append(np.array(encoding.ids, np.int32))
+            counts.append(np.diff(ends, prepend=0))
+        self._keep(pa.concat_arrays([self.known, new]), np.concatenate(counts), np.concatenate(ids))
+
+    def codes(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words in ``counts`` and ``lists``."""
+        if self.known.nbytes > _MOST_CHARS:
+            self.start_over()
+        at = pc.index_in(words, value_set=self.known)
+        if at.null_count:
+            new = words.filter(pc.is_null(at))
+            fresh = np.arange(len(self.known), len(self.known) + len(new))
+            places = at.fill_null(-1).to_numpy().astype(np.int64)
+            places[places < 0] = fresh
+            self._learn(new)
+            return places
+        return at.to_numpy().astype(np.int64)
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str, end: int) -> WordIds:
+    """The words of a tokenizer file of the ``tokenizers`` library; one for each worker."""
+    return WordIds(path, end)
 
-def encode_texts(texts: Sequence[str | None], path: str, end: int) -> Iterator[np.ndarray]:
-    """Token ids of each text, ``end`` appended."""
-    memory = word_memory(path)
-    for a, b in pieces(texts):
-        cut = [word_chunks(t) for t in texts[a:b]]
-        look = memory.learn(cut)
-        for chunks in cut:
-            ids = flat(look, chunks)
-            yield np.append(ids, np.int32(end))
 
+def encode_texts(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts laid end to end, ``end`` after each, and how many each has.
 
-def _lists(rows: Sequence[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+    Texts are put in lower case as far as ASCII goes, parted at ASCII white space
+    and before marks, and the distinct words are looked up once. A word that no
+    such text holds closes each of them and stands for the end id. Texts that may
+    hold a special token go to the library whole.
+    """
+    memory = word_ids(path, end)
+    texts = pc.fill_null(texts, "")
+    special = pc.match_substring(texts, _SPECIAL).to_numpy(zero_copy_only=False)
+    common = pc.ascii_lower(pc.if_else(pa.array(special), "", texts) if special.any() else texts)
+    closed = pc.binary_join_element_wise(pc.replace_substring_regex(common, _EDGE, r"\1 \2"), _END, " ")
+    lists = pc.ascii_split_whitespace(closed)
+    words = lists.flatten().dictionary_encode()
+    code = memory.codes(words.dictionary)[words.indices.to_numpy()]
+    ids = memory.lists.take(pa.array(code)).flatten().to_numpy()
+    sums = np.cumsum(memory.counts[code])
+    counts = np.diff(sums[np.cumsum(lists.value_lengths().to_numpy()) - 1], prepend=0) if len(texts) else np.zeros(0, np.int64)
+    if not special.any():
+        return ids, counts
+    starts = np.cumsum(counts) - counts
+    parts, at = [], 0
+    for i in np.flatnonzero(special).tolist():
+        found = memory.whole(texts[i].as_py())
+        parts += [ids[at : starts[i]], found]
+        at, counts[i] = starts[i], len(found) + 1
+    return np.concatenate([*parts, ids[at:]]), counts
+
+
+def slices(texts: pa.Array, most_bytes: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of bounded size together; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    begin = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > begin and size + n > most_bytes:
+            yield begin, i
+            begin, size = i, 0
+        size += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def tokenized(docs: DataFrame, path: str, end: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,15 +162,14 @@ def tokenized(docs: DataFrame, path: str, end: int, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            encoded = encode_texts(texts, path, end)
-            for a, b in pieces(texts):
-                rows = [next(encoded) for _ in range(a, b)]
-                n = np.array([len(r) for r in rows], np.int64)
+            ids, texts = batch.column(0), batch.column(1)
+            for a, b in slices(texts):
+                flat, n = encode_texts(texts.slice(a, b - a), path, end)
                 starts = before + np.cumsum(n) - n
-                before += int(n.sum())
-                columns = [ids.slice(a, b - a), pa.array(np.full(b - a, file, np.int32)), pa.array(starts), pa.array(n)]
-                yield pa.RecordBatch.from_arrays([*columns, _lists(rows)], schema=_ARROW)
+                before += len(flat)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(flat))
+                columns = [ids.slice(a, b - a), pa.array(np.full(b - a, file, np.int32)), pa.array(starts), pa.array(n), lists]
+                yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, SCHEMA)
@@ -136,8 +184,10 @@ def write_tokens(
     shuffle partitions, which a cluster sizes to its data.
     """
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Rows that share an id are many files if need be: their texts' hashes part them.
+    mark = F.xxhash64("text")
     narrow = docs.select("doc_id", "text")
-    ordered = narrow.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = narrow.repartitionByRange(files, "doc_id", mark).sortWithinPartitions("doc_id", mark, "text")
     (
         tokenized(ordered, path, end)
         .write.option("orc.compress", "zstd")
@@ -160,6 +210,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return joined.withColumn("start", F.col("__first") + F.col("before")).drop("__file", "__first")
 
 
+def look_up(spark: SparkSession, path: str, ids: Sequence[int]) -> DataFrame:
+    """Rows of ``SCHEMA`` of some documents: files, stripes and row groups without them are skipped by their metadata."""
+    return spark.read.schema(SCHEMA).orc(path).filter(F.col("doc_id").isin([int(i) for i in ids]))
+
+
 def ids_crc32(rows: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32``: the checksum is that of the ids as little-endian 32-bit integers."""
 
