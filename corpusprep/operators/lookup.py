@@ -62,7 +62,9 @@ def _join_hot(facts: DataFrame, dim: DataFrame, on: list[str], how: str, hot: li
         return F.xxhash64(*on).isin(hot)
 
     few = dim.filter(is_hot()).select(*on, found.alias("__hot"))
-    rest = dim.filter(~is_hot()).select(*on, F.lit(0).alias("__spread"), found.alias("__cold"))
+    # Zero, but not as a constant: that would be taken out of the join's keys, and with it the spread.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int").alias("__spread")
+    rest = dim.filter(~is_hot()).select(*on, zero, found.alias("__cold"))
     # Facts with a hot key look for nothing in the shuffled table, from wherever they are sent.
     away = F.when(is_hot(), F.pmod(F.xxhash64(*facts.columns), F.lit(_SPREAD)).cast("int") + 1).otherwise(0)
     first = facts.join(F.broadcast(few), on, "left").withColumn("__spread", away)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corpusprep.functions.text import byte_len, is_blank, repair_utf8
 from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
@@ -124,7 +124,7 @@ def with_byte_offsets(df: DataFrame, moved: bool = False) -> DataFrame:
     lines that were ``moved`` between tasks since have to meet again.
     """
     if not moved:
-        kinds = StructType(df.schema.fields).add("end", "bigint").add("start", "bigint")
+        kinds = StructType([*df.schema.fields, StructField("end", LongType()), StructField("start", LongType())])
         return df.mapInArrow(_offsets, kinds)
     along = W.partitionBy("block_no").orderBy("id").rowsBetween(W.unboundedPreceding, W.currentRow)
     end = F.col("block_start") + F.sum(F.col("bytes") + 1).over(along)

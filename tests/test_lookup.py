@@ -13,9 +13,10 @@ from test_plans import final_plan
 
 @pytest.fixture
 def many_partitions(spark):
-    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.shuffle.partitions", "100")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    new = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
     yield 100
     for k, v in old.items():
         spark.conf.set(k, v)
@@ -44,8 +45,8 @@ def test_large_lookup_equals_a_plain_join_without_a_hot_task(spark, many_partiti
     # How many rows of the joined result each task of the join holds.
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 0.05 * sum(sizes)
-    plain_sizes = [r["count"] for r in plain.hint("merge").groupBy(F.spark_partition_id()).count().collect()]
-    assert how == "inner" or max(plain_sizes) <= sum(plain_sizes)
+    plain_sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(plain_sizes) > 0.3 * sum(plain_sizes)
 
 
 def test_two_keys_and_a_dimension_of_keys_only(spark):

@@ -79,3 +79,21 @@ def test_sampled_equals_a_serial_draw(spark, tokens, monkeypatch):
             out.append(last)
         assert r["generated"] == out
     assert len({tuple(r["generated"]) for r in got.collect()}) > 20
+
+
+def test_followers_of_a_hot_token_lie_in_many_tasks(spark):
+    """Two fifths of all pairs begin with one token that very many tokens follow; no window holds its line."""
+    hot = spark.range(40_000).select(F.lit("the").alias("prev"), F.format_string("w%06d", "id").alias("next"), F.lit(1).cast("bigint").alias("n"))
+    rest = spark.range(60_000).select(F.format_string("p%05d", F.col("id") % 9000).alias("prev"), F.format_string("q%d", "id").alias("next"), F.lit(1).cast("bigint").alias("n"))
+    pairs = hot.unionByName(rest)
+    states, chunks = B.draw_tables(pairs, 1.0)
+    row = states.filter("state = 'the'").first()
+    assert row["total"] == pytest.approx(40_000) and row["chunks"] == -(-40_000 // B.CHUNK_SIZE)
+    line = [t for r in chunks.filter("state = 'the'").orderBy("chunk").collect() for t in r["nexts"]]
+    assert list(dict.fromkeys(line)) == [f"w{i:06d}" for i in range(40_000)]
+    laid = B.stage(B.running(pairs, ["next"], {"low": F.col("n")}, by=["prev"]))
+    assert laid.groupBy("prev").agg(F.max("low").alias("m")).filter("prev = 'the' AND m = 39999").count() == 1
+    from corpusprep.operators.order import ranged
+
+    spread = ranged(pairs, ["prev", "next"]).groupBy("__bucket").count().collect()
+    assert max(r["count"] for r in spread) < 0.2 * 100_000

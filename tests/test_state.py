@@ -5,6 +5,7 @@ import tracemalloc
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from test_streaming import SCHEMA, add_file
@@ -115,7 +116,8 @@ def test_packer_with_many_chunks_in_one_micro_batch(spark, tmp_path, small_chunk
     folder.mkdir()
     rows = [("s", i, [i] * (i % 5)) for i in range(1500)] + [("s", None, [9])]
     random.Random(1).shuffle(rows)
-    add_file(spark, folder, 0, rows, SCHEMA)
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.list_(pa.int64())))]
+    pq.write_table(pa.table(columns, names=["source", "seq", "ids"]), folder / "0.parquet")
     sdf = stream_corpus(spark, str(folder), schema=SCHEMA)
     start(pack_stream(sdf, "source", "seq", "ids", 8), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = [t for r in spark.read.parquet(str(tmp_path / "out")).orderBy("seq_id").collect() for t in r["ids"]]
@@ -194,6 +196,9 @@ def test_arrow_stream_repeats_a_failed_micro_batch(spark, tmp_path):
     with pytest.raises(Exception, match="killed"):
         run(True)
     grow(folder / "001.arrow", 12, 1)
+    # The first run repeats the micro-batch as it was planned, the second one sees the new file.
+    run(False)
+    assert sorted((f, r) for _, f, r in seen) == [(0, i) for i in range(12)]
     run(False)
     assert sorted((f, r) for _, f, r in seen) == [(0, i) for i in range(12)] + [(1, i) for i in range(3)]
 
