@@ -11,13 +11,16 @@ steps go up that term instead. Since l(z) - l(-z) = -z the plain risk is convex
 and its Newton steps need one pass of sums over the staged features each:
 every row counts, nothing is sampled, and only sums of fixed size reach the driver.
 
-The prior is estimated from the labelled rows of the learning fold. Their
-negative labels are used for nothing else.
+The prior is the share of positives among the labelled rows of the learning
+fold; negative labels are used for nothing else. Without them it is estimated
+from the positives and all rows (``estimate_prior``).
 
 Scores are probabilities in [0, 1]. A null or empty text has the features of an
 empty text. Labels that contradict each other for one id are ignored. Without
 any positive label every score is the prior, or one half if no label is known.
-Rows with a null id are scored and count as unlabelled. An empty table gives no rows.
+Rows with a null id are scored and count as unlabelled. Repeated rows count each.
+Texts are read whole, however long. Further columns are ignored, and stay in
+``keep_good``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ FOLDS = 4
 THRESHOLD = 0.7
 _RIDGE = 1e-3
 _ROUNDS = 25
+_BINS = 1000
 _PLAIN, _MARKS = b".,;:'\"?-()", b"#$%&*|<>{}[]^~\\/=_+@"
 NAMES = (
     "length", "upper", "digits", "plain", "marks", "shouts", "bars", "blanks", "wide", "distinct", "top_word",
@@ -152,23 +156,65 @@ def _p_gradient_of_negatives(staged: DataFrame, mean: np.ndarray, scale: np.ndar
     return np.array([found.get(k, 0.0) for k in range(len(w))]) / max(1.0, found.get(len(w), 0.0))
 
 
+def _moments(staged: DataFrame, n: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scale of each feature."""
+    first = _sums(staged, np.zeros(d - 1), np.ones(d - 1), np.zeros(d))
+    mean = first[6 : 6 + d - 1] / n
+    scale = np.sqrt(np.maximum(first[6 + d : 6 + 2 * d - 1] / n - mean**2, 1e-12))
+    return mean, np.where(scale < 1e-5, 1.0, scale)
+
+
+def estimate_prior(staged: DataFrame, mean: np.ndarray, scale: np.ndarray, d: int) -> float:
+    """Share of positives among all rows, from positives and unlabelled rows alone.
+
+    A classifier tells positives from all rows. Where positives lie, all rows
+    are at least the prior times as frequent: the least ratio of the shares
+    above a score bounds the prior, and reaches it where no others lie. Shares
+    are taken with their sampling error, so that a thin end cannot bound it.
+    """
+    w = np.zeros(d)
+    for _ in range(_ROUNDS):
+        s = _sums(staged, mean, scale, w)
+        away = _p_gradient_of_negatives(staged, mean, scale, w)
+        up = (s[6 + 3 * d : 6 + 4 * d] / s[0] - s[6 + 2 * d : 6 + 3 * d] / s[1] + away) / 2 + _RIDGE * w
+        step = np.linalg.solve(s[6 + 4 * d :].reshape(d, d) / s[0] + _RIDGE * np.eye(d), up)
+        size = np.abs(step).max()
+        w = w - step * min(1.0, 1.0 / max(size, 1e-12))
+        if size < 1e-3:
+            break
+    model = Model(tuple((w[:-1] / scale).tolist()), float(w[-1] - (w[:-1] / scale * mean).sum()), 0.5)
+    at = F.floor(model.score(F.col("features")) * _BINS).cast("int").alias("bin")
+    found = staged.groupBy(at).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("positive").cast("int")).alias("p")).collect()
+    every, known = np.zeros(_BINS + 1), np.zeros(_BINS + 1)
+    for r in found:
+        every[r["bin"]], known[r["bin"]] = r["n"], r["p"]
+    u, p = (np.cumsum(x[::-1]) / x.sum() for x in (every, known))
+    above = p > 2 / np.sqrt(known.sum())
+    if not above.any():
+        return 0.5
+    bounds = (u[above] + 1 / np.sqrt(every.sum())) / (p[above] - 1 / np.sqrt(known.sum()))
+    return float(np.clip(bounds.min(), 0.01, 0.99))
+
+
 def fit(rows: DataFrame) -> Model:
-    """A model from ``(features, quality)`` of the learning fold; ``quality`` is null where unlabelled."""
+    """A model from ``(features, quality)`` of the learning fold; ``quality`` is null where unlabelled.
+
+    The prior is the share of positives among the labelled rows. Where only
+    positives are labelled, it is estimated from them and all rows.
+    """
     d = len(NAMES) + 1
     counts = rows.agg(
         F.count(F.lit(1)), F.count("quality"), F.sum(F.when(F.col("quality") == 1, 1).otherwise(0))
     ).first()
     n, labelled, positive = (x or 0 for x in counts)
     prior = positive / labelled if labelled else 0.5
-    if not positive or positive == labelled:
+    if not positive or n == positive:
         level = min(max(prior, 1e-6), 1 - 1e-6)
         return Model((0.0,) * len(NAMES), float(np.log(level / (1 - level))), prior)
     staged = rows.select("features", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive"))
-    nil, one = np.zeros(d - 1), np.ones(d - 1)
-    first = _sums(staged, nil, one, np.zeros(d))
-    mean = first[6 : 6 + d - 1] / n
-    scale = np.sqrt(np.maximum(first[6 + d : 6 + 2 * d - 1] / n - mean**2, 1e-12))
-    scale = np.where(scale < 1e-5, 1.0, scale)
+    mean, scale = _moments(staged, n, d)
+    if positive == labelled:
+        prior = estimate_prior(staged, mean, scale, d)
     w = np.zeros(d)
     for _ in range(_ROUNDS):
         s = _sums(staged, mean, scale, w)
