@@ -4,13 +4,15 @@ Large-star and small-star steps alternate: each node points its larger
 neighbours, then its smaller ones, at the least node it knows. The edges end as
 stars around the least node of each component, after a number of rounds that
 grows with the logarithm of the longest path. Every round is staged in the
-shared folder, so lineage stays short and lost executors cost one round.
+shared folder, so lineage stays short and lost executors cost one round. The
+node that a round's edges meet in is found beforehand and its edges are spread.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from corpusprep.operators.lookup import UNBOUNDED, lookup_join
 from corpusprep.session import stage
 
 
@@ -32,7 +34,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        # The hub of a large component has as many rows as the component has nodes.
+        known = lookup_join(both, least, "u", "inner", bound=UNBOUNDED)
+        large = known.filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         large = large.filter(F.col("hi") != F.col("lo"))
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(lowest, "hi").select(

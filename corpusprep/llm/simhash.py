@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusprep.llm.common import fresh, sorted_groups, words_of
 from corpusprep.llm.components import connected_components
+from corpusprep.operators.lookup import UNBOUNDED, lookup_join
 from corpusprep.session import stage
 
 BITS, SEED = 64, 42
@@ -127,6 +128,18 @@ def _verify(signatures: DataFrame, distance: int, most: int) -> DataFrame:
     return grouped.select("mask", "key", "fp").mapInArrow(run, "a bigint, b bigint, mask bigint")
 
 
+def _finer(mask: Column) -> Column:
+    """The finer masks of a mask, worked out where the row is: there are too many for a plan."""
+
+    @F.arrow_udf("array<bigint>")
+    def run(masks: pa.Array) -> pa.Array:
+        coded = masks.dictionary_encode()
+        lists = [[_signed(f) for f in finer_masks(m % (1 << 64))] for m in coded.dictionary.to_pylist()]
+        return pa.array(lists, pa.list_(pa.int64())).take(coded.indices)
+
+    return run(mask)
+
+
 def links(fps: DataFrame, distance: int = 3, most: int = MOST) -> DataFrame:
     """``(a, b)``: links that join all fingerprints (distinct, in ``fp``) that chains of links join."""
     if distance > 3:
@@ -135,11 +148,8 @@ def links(fps: DataFrame, distance: int = 3, most: int = MOST) -> DataFrame:
     found = stage(_verify(_signatures(fps, F.array(*[F.lit(m) for m in first])), distance, most), "links")
     out = found.filter(F.col("b").isNotNull()).select("a", "b")
     hot = found.filter(F.col("b").isNull())
-    while masks := [r["mask"] for r in hot.select("mask").distinct().collect()]:  # masks, not rows: 64 * 33 * 18 at most
-        finer = F.create_map(
-            *[x for m in masks for x in (F.lit(m), F.array(*[F.lit(_signed(f)) for f in finer_masks(m % (1 << 64))]))]
-        )
-        rows = hot.select(F.col("a").alias("fp"), F.element_at(finer, F.col("mask")).alias("finer"))
+    while hot.limit(1).count():
+        rows = hot.select(F.col("a").alias("fp"), _finer(F.col("mask")).alias("finer"))
         found = stage(_verify(_signatures(rows, F.col("finer")).distinct(), distance, most), "links")
         out = out.unionByName(found.filter(F.col("b").isNotNull()).select("a", "b"))
         hot = found.filter(F.col("b").isNull())
@@ -157,8 +167,9 @@ def near_duplicates(
     roots = connected_components(joins).select(F.col("node").alias("fp"), F.col("component").alias("root"))
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    found = rooted.join(names, "root").select("fp", "component_id")
-    named = rows.join(found, "fp", "left")
+    # A component may have any share of the fingerprints, a fingerprint any share of the rows.
+    found = lookup_join(rooted, names, "root", "inner", bound=UNBOUNDED).select("fp", "component_id")
+    named = lookup_join(rows, found, "fp", bound=UNBOUNDED)
     component = F.when(F.col(id_col).isNotNull(), F.col("component_id"))
     return named.select(id_col, "fp", component.alias("component_id"))
 
