@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusprep.llm.common import sorted_groups
 from corpusprep.llm.components import connected_components
-from corpusprep.operators.lookup import lookup_join
+from corpusprep.operators.lookup import UNBOUNDED, lookup_join
 from corpusprep.session import stage
 
 BLOCK = 1024
@@ -199,7 +199,11 @@ def near_vectors(
             F.coalesce("component", "node").alias("component_id"),
         )
     )
-    joined = typed.join(known, can & (F.col("vector") == F.col("same")), "left")
+    # Copies of one vector may be any share of the rows.
+    # Keys are hashed there, so a negative zero must be the zero that it equals.
+    zero = F.lit(0).cast("float" if kind == "<f4" else "double")
+    same = F.when(can, F.transform("vector", lambda x: x + zero))
+    joined = lookup_join(typed.withColumn("same", same), known, "same", bound=UNBOUNDED)
     component = F.coalesce("component_id", "id")
     return joined.select(
         F.col("id").alias(id_col),
@@ -212,3 +216,24 @@ def near_vectors(
 def op1(vectors: DataFrame) -> DataFrame:
     """The contract's columns, one row per vector."""
     return near_vectors(vectors, "vec_id", "embedding")
+
+
+SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""

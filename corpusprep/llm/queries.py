@@ -80,6 +80,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_embedding_dedup": embeddings.SQL,
     "op11_merkle_manifest": merkle.SQL,
     "op12_mixture": mixing.SQL,
     "op13_hard_negatives": negatives.SQL,
