@@ -121,7 +121,7 @@ def bigram_scores(rows: list[tuple[int, str | None]], discount: float) -> dict:
 
 
 def literal_matches(docs: list, items: list, width: int = 13, shortest: int = 8) -> dict:
-    """Pairs of equal windows for each document and item."""
+    """Pairs of equal windows for each document and item; a very short item is a whole document or nothing."""
 
     def split(t):
         return [w for w in re.findall(r"[^\W_]+(?:[.,][0-9]+)*", (t or "").lower())]
@@ -135,6 +135,7 @@ def literal_matches(docs: list, items: list, width: int = 13, shortest: int = 8)
         w = split(text)
         n = min(width, len(w))
         if n < shortest:
+            found.update({(d, item): 1 for d, dw in of.items() if n and dw == w})
             continue
         mine = Counter(grams(w, n))
         for d, dw in of.items():

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpusprep.llm import decontaminate, hilbert, langid, lm, orc_tokens, quality, secrets, sentencepieces, simhash
+from corpusprep.llm import decontaminate, hilbert, langid, lm, merkle, mixing, orc_tokens, quality, secrets, sentencepieces, simhash
 from corpusprep.llm.common import tokenizer_file
 
-COUNTED = ["op2", "op3", "op4", "op5", "op7", "op8", "op9", "op10"]
+COUNTED = ["op2", "op3", "op4", "op5", "op7", "op8", "op9", "op10", "op11", "op12"]
 
 
 def run_all(spark, name, docs):
@@ -21,5 +21,7 @@ def run_all(spark, name, docs):
         "op8": lambda: langid.op8(docs),
         "op9": lambda: quality.op9(docs, labels),
         "op10": lambda: simhash.op10(docs),
+        "op11": lambda: merkle.op11(docs),
+        "op12": lambda: mixing.op12(docs),
     }
     return found[name]().collect()

@@ -97,11 +97,10 @@ def test_language_model(docs, texts):
         assert r["held_out"] == (crc32(str(i).encode()) % 7 == 2)
 
 
-@pytest.mark.xfail(reason="eight-bit levels: a text of 377 tokens scores -49.07 against -46.74 without quantising")
 def test_language_model_scores(docs, texts):
     full = brute.bigram_scores(texts, lm.DISCOUNT)
     for r in lm.op4(docs).collect():
-        assert r["score"] == pytest.approx(full[r["doc_id"]], rel=0.02)
+        assert r["score"] == pytest.approx(full[r["doc_id"]], rel=2e-3)
 
 
 def test_sentencepiece_equals_the_library(docs, texts):
@@ -160,6 +159,15 @@ def test_literal_windows_of_the_benchmark(spark, sf, texts):
     assert found == brute.literal_matches(texts, [(r["item_id"], r["text"]) for r in items.collect()])
 
 
+def test_short_items_are_whole_documents(spark):
+    texts = [(1, "Yes, it is!"), (2, "yes it is"), (3, "Yes it is not"), (4, "yes"), (5, ""), (6, None)]
+    items = [(10, "yes it is"), (11, "Yes."), (12, ""), (13, "a b c d e f g h")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]): r["n_literal"] for r in decontaminate.op6(docs, bench).collect()}
+    assert found == brute.literal_matches(texts, items) == {(1, 10): 1, (2, 10): 1, (4, 11): 1}
+
+
 def test_templates_need_consistent_slots(spark):
     def ask(name, a, other, b, c):
         return f"Yesterday afternoon {name} bought {a} red apples from {other} and then sold {b} of them to {name} for {c} dollars at the old market"
