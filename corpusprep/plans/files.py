@@ -12,7 +12,7 @@ from corpusprep.plans.common import SEQ_LEN, SQL_LOG, SQL_PACKED, joined, run_lo
 from corpusprep.session import stage_path
 from corpusprep.sources.arrow_stream import read_pretokenized, write_pretokenized
 from corpusprep.sources.corpus import read_corpus, with_byte_offsets
-from corpusprep.sources.documents import read_table
+from corpusprep.sources.documents import read_documents, read_table
 from corpusprep.sources.packed import read_packed, write_packed
 from corpusprep.sources.snapshot import load_snapshot, save_snapshot, snapshot_steps
 
@@ -30,9 +30,9 @@ def corpus_lines(spark, sf):
     """``documents`` as text files, read back as a corpus: its lines, their bytes, and how often each occurs."""
     path = stage_path(spark, "corpus")
     # A carriage return would be read as a line end too.
-    rows = read_table(spark, sf, "documents").select("lang", "doc_id", F.replace("text", F.lit("\r"), F.lit(" ")).alias("value"))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))
-    rows.repartition(SHARDS, "lang", part).select("lang", "value").write.partitionBy("lang").text(path)
+    rows = read_documents(spark, sf).select("lang", F.replace("text", F.lit("\r"), F.lit(" ")).alias("value"))
+    # Each task writes its share of the scan, so there are as many files as the table asks for.
+    rows.write.partitionBy("lang").text(path)
     corpus = read_corpus(spark, path)
     located = with_byte_offsets(corpus.lines, corpus.moved)
     return located.groupBy("line", (F.col("end") - F.col("start")).alias("bytes")).agg(F.count(F.lit(1)).alias("n"))

@@ -334,3 +334,20 @@ def test_dropping_takes_the_manifest_first(spark, tmp_path, monkeypatch):
 def test_empty_snapshot_keeps_its_columns(spark, tmp_path):
     save_snapshot(spark.range(0).toDF("k"), str(tmp_path / "s"), 1)
     assert load_snapshot(spark, str(tmp_path / "s")).dtypes == [("k", "bigint")]
+
+
+def test_a_corpus_is_written_by_as_many_tasks_as_its_table_has(spark, sf, tmp_path, monkeypatch):
+    from corpusprep.plans import files
+
+    kept = spark.read.parquet(f"{sf}/documents.parquet").limit(120).repartition(40)
+    kept.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        place = []
+        made = files.stage_path
+        monkeypatch.setattr(files, "stage_path", lambda spark, label: place.append(made(spark, label)) or place[-1])
+        files.corpus_lines(spark, str(tmp_path)).count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    names = {p.name.split("-")[1] for p in Path(place[0].removeprefix("file:")).rglob("part-*.txt")}
+    assert len(names) > 8
