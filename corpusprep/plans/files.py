@@ -9,7 +9,7 @@ from corpusprep.operators.batch import assign_shards, batch_at
 from corpusprep.operators.pack import pack
 from corpusprep.operators.tokens import text_tokens
 from corpusprep.plans.common import SEQ_LEN, SQL_LOG, SQL_PACKED, joined, run_log
-from corpusprep.session import stage_path
+from corpusprep.session import stage, stage_path
 from corpusprep.sources.arrow_stream import read_pretokenized, write_pretokenized
 from corpusprep.sources.corpus import read_corpus, with_byte_offsets
 from corpusprep.sources.documents import read_documents, read_table
@@ -53,7 +53,9 @@ def packed_files(spark, sf):
     """Packed sequences in batches, written by split and shard, and the training part read back."""
     path = stage_path(spark, "sink")
     rows = read_table(spark, sf, "documents").select("doc_id", "text")
-    batched = batch_at(pack(rows, ["doc_id"], text_tokens(F.col("text")), SEQ_LEN), "seq_id", BATCH)
+    # Counting, planning and writing read the sequences; they are packed once.
+    packed = stage(pack(rows, ["doc_id"], text_tokens(F.col("text")), SEQ_LEN), "packed")
+    batched = batch_at(packed, "seq_id", BATCH)
     split = F.when(F.col("batch_id") % 10 < 9, "train").otherwise("val")
     sharded = assign_shards(batched, BATCH, SHARDS).withColumn("split", split)
     write_packed(sharded, path, target_bytes=1 << 20)

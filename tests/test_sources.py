@@ -351,3 +351,12 @@ def test_a_corpus_is_written_by_as_many_tasks_as_its_table_has(spark, sf, tmp_pa
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     names = {p.name.split("-")[1] for p in Path(place[0].removeprefix("file:")).rglob("part-*.txt")}
     assert len(names) > 8
+
+
+def test_sequences_are_packed_once_for_counting_planning_and_writing(spark, sf, monkeypatch):
+    from corpusprep.plans import files
+
+    plans = []
+    monkeypatch.setattr(files, "write_packed", lambda df, *a, **b: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write_packed(df, *a, **b))
+    files.packed_files(spark, sf).count()
+    assert "documents" not in plans[0] and "Generate" not in plans[0]
