@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusprep.functions.schedule import pad_amount
 from corpusprep.functions.text import is_blank, words
-from corpusprep.operators.lookup import lookup_join
+from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
 from corpusprep.operators.order import ranged_index
 
 # The special tokens come first in every vocabulary.
 UNK, EOS = "<unk>", "<eos>"
 UNK_ID, EOS_ID = 0, 1
 FIRST_ID = 2
+_ENTRY_BYTES = 64
 
 
 def append_eos(ids: Column, eos) -> Column:
@@ -74,11 +75,25 @@ def pad_vocab(vocab: DataFrame, multiple: int) -> DataFrame:
 
 
 def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | None = None) -> DataFrame:
-    """Replace the ``token`` column by its ``id``; unknown tokens get the unknown id."""
-    joined = lookup_join(tokens, vocab.select("token", F.col("id").alias("__id")), "token", bound=bound)
-    known = F.when(F.col("token") == eos, F.lit(EOS_ID)).otherwise(F.coalesce("__id", F.lit(UNK_ID)))
+    """Replace the ``token`` column by its ``id``; unknown tokens get the unknown id.
+
+    A vocabulary too large to broadcast is parted by id, which follows the
+    count: nearly all rows find their token in its head, where they lie; only
+    the others are shuffled to the rest.
+    """
+    table = vocab.select("token", F.col("id").alias("__id"))
     kept = [c for c in tokens.columns if c != "token"]
-    return joined.select(*kept, known.alias("id"))
+    is_eos = F.col("token") == eos
+    known = F.when(is_eos, F.lit(EOS_ID)).otherwise(F.coalesce("__id", F.lit(UNK_ID))).alias("id")
+    most = BROADCAST_BYTES // _ENTRY_BYTES
+    if (table.limit(most + 1).count() if bound is None else bound) <= most:
+        return tokens.join(F.broadcast(table), "token", "left").select(*kept, known)
+    in_head = F.coalesce(F.col("__id").between(0, most - 1), F.lit(False))
+    near = tokens.join(F.broadcast(table.filter(in_head)), "token", "left")
+    found = F.col("__id").isNotNull() | F.coalesce(is_eos, F.lit(False))
+    left = None if bound is None else bound - most
+    away = lookup_join(near.filter(~found).drop("__id"), table.filter(~in_head), "token", bound=left)
+    return near.filter(found).select(*kept, known).unionByName(away.select(*kept, known))
 
 
 def decode(ids: DataFrame, vocab: DataFrame, by: list[str], pos: str, bound: int | None = None) -> DataFrame:

@@ -113,3 +113,17 @@ def test_ids_by_shuffle_equal_ids_by_broadcast(spark, sf):
     vocab = build_vocab(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     small, large = to_ids(rows, vocab), to_ids(rows, vocab, bound=1 << 40)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_only_rare_tokens_are_moved_to_a_large_vocabulary(spark, monkeypatch):
+    from corpusprep.operators import tokens as T
+
+    word = F.when(F.col("i") % 7 == 0, "<eos>").when(F.col("i") % 11 == 0, F.concat(F.lit("rare"), F.col("i") % 90))
+    rows = spark.range(5000).withColumnRenamed("id", "i").coalesce(1)
+    rows = rows.withColumn("token", word.when(F.col("i") % 13 == 0, "unseen").when(F.col("i") % 17 != 0, F.concat(F.lit("w"), F.col("i") % 5)))
+    vocab = build_vocab(rows.filter("token NOT IN ('<eos>', 'unseen')").groupBy("token").agg(F.count(F.lit(1)).alias("n"))).localCheckpoint()
+    whole = to_ids(rows, vocab).collect()
+    monkeypatch.setattr(T, "BROADCAST_BYTES", 7 * 64, raising=False)
+    parted = to_ids(rows, vocab, bound=1 << 40)
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, parted.collect()))
+    assert parted.filter("id BETWEEN 1 AND 6").select(F.spark_partition_id()).distinct().count() == 1
