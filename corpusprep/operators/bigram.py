@@ -17,6 +17,7 @@ HOT_SHARE = 1_000  # a token is hot when it makes up more than 1 in so many
 LEAST_CHUNKS = 16
 CHUNK_SIZE = 256
 FOLLOWER_BYTES = 40
+_KEY_BYTES = 64
 
 
 def pair_counts(df: DataFrame, ids: Column) -> DataFrame:
@@ -143,18 +144,30 @@ def chunk_of(target: Column) -> Column:
     return F.least(F.floor(target / (F.col("total") / F.col("chunks"))), F.col("chunks") - 1).cast("int")
 
 
+def _asked(chunks: DataFrame, aimed: DataFrame) -> DataFrame:
+    """The chunks that ``aimed`` draws from; all of them when those are too many to name."""
+    asked = aimed.filter(F.col("chunk").isNotNull()).select("state", "chunk").distinct()
+    most = BROADCAST_BYTES // _KEY_BYTES
+    if asked.limit(most + 1).count() > most:
+        return chunks
+    return chunks.join(F.broadcast(asked), ["state", "chunk"], "left_semi")
+
+
 def generate_sampled(
     prompts: DataFrame, key: str, ids: Column, pairs: DataFrame, n: int, eos, temperature: float, seed: int
 ) -> DataFrame:
     """Like :func:`generate_greedy` with a fresh categorical draw per token.
 
     Prompts advance together, one join per token; lineage is cut by a staged
-    table every few tokens.
+    table every few tokens. Where the tables are too large to broadcast, a
+    join looks at its rows more than once, so each token's rows are staged, and
+    only the chunks that some prompt draws from are moved.
     """
     states, chunks = (stage(table, "draws") for table in draw_tables(pairs, temperature))
     n_states = states.count()
     n_followers = chunks.agg(F.coalesce(F.sum(F.size("nexts")), F.lit(0))).first()[0]
     fits = n_followers * FOLLOWER_BYTES <= BROADCAST_BYTES
+    small = fits and n_states <= BROADCAST_BYTES // _KEY_BYTES
     kind = chunks.schema["nexts"].dataType
     state = prompts.select(
         key, F.try_element_at(ids, F.lit(-1)).alias("state"), F.array().cast(kind).alias("generated")
@@ -163,7 +176,9 @@ def generate_sampled(
         aimed = lookup_join(state, states, "state", bound=n_states)
         aimed = aimed.withColumn("target", uniform(seed, F.lit(step), F.col(key)) * F.col("total"))
         aimed = aimed.withColumn("chunk", chunk_of(F.col("target")))
-        joined = aimed.join(F.broadcast(chunks) if fits else chunks, ["state", "chunk"], "left")
+        if not fits:
+            aimed = stage(aimed, "aimed")
+        joined = aimed.join(F.broadcast(chunks) if fits else _asked(chunks, aimed), ["state", "chunk"], "left")
         drawn = F.get("nexts", F.least(search_sorted(F.col("edges"), F.col("target")), F.size("nexts") - 1))
         taken = joined.withColumn("__next", drawn)
         state = taken.select(
@@ -173,6 +188,6 @@ def generate_sampled(
             .otherwise(F.concat("generated", F.array("__next")))
             .alias("generated"),
         )
-        if (step + 1) % STEPS_PER_STAGE == 0:
+        if not small or (step + 1) % STEPS_PER_STAGE == 0:
             state = stage(state, "generated")
     return state.select(key, "generated")

@@ -97,3 +97,24 @@ def test_followers_of_a_hot_token_lie_in_many_tasks(spark):
 
     spread = ranged(pairs, ["prev", "next"]).groupBy("__bucket").count().collect()
     assert max(r["count"] for r in spread) < 0.2 * 100_000
+
+
+def test_large_tables_are_not_joined_again_for_each_token(spark, tokens, monkeypatch):
+    """Beyond what is broadcast, the result of the last token is staged, so no join of an earlier one is repeated."""
+    from corpusprep.operators import lookup as L
+
+    prompts = spark.range(60).select("id", F.array(F.lit("a")).alias("ids"))
+    pairs = B.pair_counts(tokens, F.col("ids"))
+    args = ("id", F.col("ids"), pairs, 5, "e", 0.7, 3)
+    expect = sorted(map(tuple, B.generate_sampled(prompts, *args).collect()), key=str)
+    monkeypatch.setattr(B, "BROADCAST_BYTES", 64)
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 64)
+    few = B.generate_sampled(prompts, *args)
+    assert sorted(map(tuple, few.collect()), key=str) == expect
+    assert "Join" not in few._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_the_chunks_asked_for_are_joined(spark):
+    chunks = spark.createDataFrame([("a", 0, ["x"]), ("a", 1, ["y"]), ("b", 0, ["z"])], "state string, chunk int, nexts array<string>")
+    aimed = spark.createDataFrame([("a", 1), ("a", 1), (None, None), ("q", None)], "state string, chunk int")
+    assert [tuple(r)[:2] for r in B._asked(chunks, aimed).collect()] == [("a", 1)]
