@@ -39,7 +39,7 @@ class Bigram:
 def fit_bigram(df: DataFrame, ids: Column) -> Bigram:
     """Add-one smoothed next-token model of the token rows."""
     pairs = stage(pair_counts(df, ids), "pairs")
-    contexts = pairs.groupBy("prev").agg(F.sum("n").alias("total"))
+    contexts = stage(pairs.groupBy("prev").agg(F.sum("n").alias("total")), "contexts")
     tokens = pairs.select(F.explode(F.array("prev", "next")).alias("token")).distinct()
     return Bigram(pairs, contexts, tokens.agg(F.count(F.lit(1))).scalar())
 
@@ -57,7 +57,8 @@ def score_bigram(df: DataFrame, ids: Column, model: Bigram) -> DataFrame:
     Held-out pairs are counted first, so the joins see each pair once.
     """
     held = pair_counts(df, ids).withColumnRenamed("n", "seen")
-    known = held.join(model.pairs, ["prev", "next"], "left")
+    # Read for its hot keys and for the join.
+    known = stage(held.join(model.pairs, ["prev", "next"], "left"), "known")
     placed = lookup_join(known, model.contexts, "prev")
     prob = (F.coalesce("n", F.lit(0)) + 1) / (F.coalesce("total", F.lit(0)) + model.vocab_size)
     return (

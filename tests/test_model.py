@@ -118,3 +118,13 @@ def test_only_the_chunks_asked_for_are_joined(spark):
     chunks = spark.createDataFrame([("a", 0, ["x"]), ("a", 1, ["y"]), ("b", 0, ["z"])], "state string, chunk int, nexts array<string>")
     aimed = spark.createDataFrame([("a", 1), ("a", 1), (None, None), ("q", None)], "state string, chunk int")
     assert [tuple(r)[:2] for r in B._asked(chunks, aimed).collect()] == [("a", 1)]
+
+
+def test_contexts_and_known_pairs_are_worked_out_once(spark, tokens, monkeypatch):
+    staged = []
+    keep = B.stage
+    monkeypatch.setattr(B, "stage", lambda df, label="stage": staged.append(label) or keep(df, label))
+    model = B.fit_bigram(tokens, F.col("ids"))
+    assert "Aggregate" not in model.contexts._jdf.queryExecution().optimizedPlan().toString()
+    assert B.score_bigram(tokens, F.col("ids"), model).first()["tokens"] == sum(counts(ROWS).values())
+    assert staged == ["pairs", "contexts", "known"]
