@@ -42,9 +42,11 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -90,6 +92,17 @@ def token_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows) if rows else np.zeros(0, np.uint64), np.array([len(r) for r in rows], np.int64)
 
 
+def _runs(column: pa.Array) -> Iterator[list[str | None]]:
+    """Texts of a column in runs of bounded size, so that no more of a batch is in Python at once."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        ahead = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, ahead + _PIECE, side="right")))
+        yield column.slice(at, end - at).to_pylist()
+        at = end
+
+
 # --- files -----------------------------------------------------------------
 
 
@@ -310,10 +323,9 @@ def train(texts: DataFrame, words_per_file: int = WORDS_PER_FILE, pairs_per_file
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0).to_pylist()
-            for a, b in pieces(column, _PIECE):
-                h, n = np.unique(token_hashes(column[a:b])[0], return_counts=True)
-                h, n = np.append(h, np.uint64(_START)), np.append(n, b - a)
+            for run in _runs(batch.column(0)):
+                h, n = np.unique(token_hashes(run)[0], return_counts=True)
+                h, n = np.append(h, np.uint64(_START)), np.append(n, len(run))
                 yield pa.RecordBatch.from_arrays([pa.array(_ordered(h)), pa.array(n)], names=["h", "n"])
 
     counted = texts.mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
@@ -354,9 +366,8 @@ def _with_pairs(texts: DataFrame, model: Model, parts: int) -> Model:
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0).to_pylist()
-            for a, b in pieces(column, _PIECE):
-                h, n = token_hashes(column[a:b])
+            for run in _runs(batch.column(0)):
+                h, n = token_hashes(run)
                 kinds, at = np.unique(np.append(h, np.uint64(_START)), return_inverse=True)
                 ids, counts, before = model.find_words(kinds)
                 left = np.append(at[-1], at[:-2])
@@ -471,7 +482,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for n, known, base, found in model.score(batch.column(1).to_pylist()):
+            for n, known, base, found in chain.from_iterable(map(model.score, _runs(batch.column(1)))):
                 columns = [batch.column(0).slice(at, len(n)), pa.array(n), pa.array(known), pa.array(base), pa.array(found)]
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_tokens", "n_known", "base_score", "score"])
                 at += len(n)
