@@ -74,12 +74,13 @@ def pad_vocab(vocab: DataFrame, multiple: int) -> DataFrame:
     )
 
 
-def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | None = None) -> DataFrame:
+def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | None = None, rare: bool = False) -> DataFrame:
     """Replace the ``token`` column by its ``id``; unknown tokens get the unknown id.
 
     A vocabulary too large to broadcast is parted by id, which follows the
     count: nearly all rows find their token in its head, where they lie; only
-    the others are shuffled to the rest.
+    the others are shuffled to the rest. With ``rare`` the caller knows that all
+    rows are such others.
     """
     table = vocab.select("token", F.col("id").alias("__id"))
     kept = [c for c in tokens.columns if c != "token"]
@@ -88,6 +89,8 @@ def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | Non
     most = BROADCAST_BYTES // _ENTRY_BYTES
     if (table.limit(most + 1).count() if bound is None else bound) <= most:
         return tokens.join(F.broadcast(table), "token", "left").select(*kept, known)
+    if rare:
+        return lookup_join(tokens, table, "token", bound=bound).select(*kept, known)
     in_head = F.coalesce(F.col("__id").between(0, most - 1), F.lit(False))
     near = tokens.join(F.broadcast(table.filter(in_head)), "token", "left")
     found = F.col("__id").isNotNull() | F.coalesce(is_eos, F.lit(False))
@@ -96,17 +99,25 @@ def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | Non
     return near.filter(found).select(*kept, known).unionByName(away.select(*kept, known))
 
 
-def decode(ids: DataFrame, vocab: DataFrame, by: list[str], pos: str, bound: int | None = None) -> DataFrame:
+def decode(
+    ids: DataFrame, vocab: DataFrame, by: list[str], pos: str, bound: int | None = None, around: DataFrame | None = None
+) -> DataFrame:
     """Text of each ``by`` group of ``(pos, id)`` rows, special ids skipped.
 
     A group is one line or one sequence, so it is small; groups that hold
-    special ids only come out as empty texts.
+    special ids only come out as empty texts. ``around`` has one row per group,
+    with ``runs``: the texts before, between and after the group's words, null
+    where there is none. Its other columns are kept.
     """
     named = lookup_join(ids, vocab.select("id", "token"), "id", bound=bound)
-    piece = F.when(F.col("token").isNotNull(), F.struct(F.col(pos).alias("at"), F.col("token").alias("word")))
-    pieces = F.array_sort(F.collect_list(piece))
-    text = F.array_join(F.transform(pieces, lambda p: p["word"]), " ")
-    return named.groupBy(*by).agg(text.alias("text"))
+    pieces = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("at"), F.col("token").alias("word"))))
+    # Null for a special id, which leaves its place and is not joined.
+    words = F.transform(pieces, lambda p: p["word"])
+    if around is None:
+        return named.groupBy(*by).agg(F.array_join(words, " ").alias("text"))
+    both = around.join(named.groupBy(*by).agg(words.alias("__words")), by)
+    between = F.flatten(F.zip_with("runs", "__words", lambda run, word: F.array(run, word)))
+    return both.select(*[c for c in around.columns if c != "runs"], F.array_join(between, " ").alias("text"))
 
 
 def text_delta(df: DataFrame, by: list[str], step: str, text: str = "text") -> DataFrame:

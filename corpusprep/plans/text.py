@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.arrays import drop_special, stop_at_eos, truncate_context
 from corpusprep.functions.text import NON_BLANK, byte_ids, is_blank, words
-from corpusprep.operators.dense import dense_vocabulary
+from corpusprep.operators.dense import dense_vocabulary, recode
 from corpusprep.operators.loss import pad_mask, shift_tokens
 from corpusprep.operators.pack import pack, pack_tokens
 from corpusprep.operators.split import document_lines, split_by_bytes, split_by_rank
@@ -19,7 +19,6 @@ from corpusprep.operators.tokens import (
     append_eos,
     build_vocab,
     count_tokens,
-    decode,
     pad_vocab,
     special_ids,
     text_tokens,
@@ -116,8 +115,7 @@ def decode_lines(spark, sf):
     if dense is not None:
         ids = lines(spark, sf).select("doc_id", "line_no", dense.encode(tokens).alias("ids"))
         return ids.select("doc_id", "line_no", dense.decode(F.col("ids")).alias("text"))
-    per_line = lines(spark, sf).select("doc_id", "line_no", F.posexplode(tokens).alias("pos", "token"))
-    return decode(to_ids(per_line, table), table, ["doc_id", "line_no"], "pos")
+    return recode(lines(spark, sf), tokens, table).select("doc_id", "line_no", "text")
 
 
 def pack_sequences(spark, sf):

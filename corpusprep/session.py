@@ -84,7 +84,7 @@ def staged_until_done(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of that table.
 
     Cuts lineage, survives lost executors, and later passes read only the
@@ -92,5 +92,5 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

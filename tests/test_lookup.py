@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusprep.operators.dense import dense_vocabulary
+from corpusprep.operators.dense import dense_head, dense_vocabulary, recode
 from corpusprep.operators.lookup import hot_keys, lookup_join
 from corpusprep.operators.pack import pack_tokens
 from corpusprep.operators.tokens import build_vocab, count_tokens, pad_vocab, to_ids
@@ -127,3 +127,40 @@ def test_only_rare_tokens_are_moved_to_a_large_vocabulary(spark, monkeypatch):
     parted = to_ids(rows, vocab, bound=1 << 40)
     assert sorted(map(tuple, whole)) == sorted(map(tuple, parted.collect()))
     assert parted.filter("id BETWEEN 1 AND 6").select(F.spark_partition_id()).distinct().count() == 1
+
+
+def test_recoding_by_any_cut_equals_the_whole_vocabulary(spark):
+    words = [[f"w{(i * j) % 23}" for j in range(i % 9)] for i in range(120)]
+    odd = [None, [], ["<eos>"], ["zzz"], [None], ["w1", None, "<eos>", "zzz", "w22", "w22", "zzz"]]
+    rows = [(i // 2, t) for i, t in enumerate([*words, *odd, *words])]  # keys repeat, and so do whole rows
+    df = spark.createDataFrame([*rows, *rows[:40], (None, ["w3", "w20"]), (None, ["w3", "w20"])], "k int, t array<string>").repartition(3)
+    vocab = build_vocab(count_tokens(spark.createDataFrame([(t,) for t in words], "t array<string>"), F.col("t"))).localCheckpoint()
+    dense = dense_vocabulary(vocab)
+    expect = sorted(map(str, df.select("k", dense.decode(dense.encode(F.col("t"))).alias("text")).collect()))
+    cuts = set()
+    for most in (0, 40, 100, 200, 1 << 20):
+        cuts.add(dense_head(vocab, most)[1])
+        assert sorted(map(str, recode(df, F.col("t"), vocab, most).drop("t").collect())) == expect
+    assert len(cuts) == 5 and 0 in cuts
+
+
+def test_only_rare_words_of_lines_are_moved_to_a_large_vocabulary(spark, tmp_path, monkeypatch):
+    from corpusprep.operators import tokens as T
+    from corpusprep.plans import text as P
+
+    lines = [" ".join([f"w{j % 40}" for j in range(i, i + 30)] + [f"rare{i}"] * (i % 5 == 0)) for i in range(400)]
+    rows = [(i // 4 if i < 396 else None, "\n".join(lines[i : i + 3]) + "\n \n") for i in range(400)]
+    spark.createDataFrame([*rows, *rows[:9]], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    expect = sorted(map(str, P.decode_lines(spark, str(tmp_path)).collect()))
+    moved, lookup = [], T.lookup_join
+
+    def counted(facts, *args, **named):
+        moved.append(facts.count())
+        return lookup(facts, *args, **named)
+
+    monkeypatch.setattr(P, "dense_vocabulary", lambda vocab: None)
+    monkeypatch.setattr(P, "recode", lambda *args: recode(*args, most_bytes=60 * 15), raising=False)
+    monkeypatch.setattr(T, "lookup_join", counted)
+    assert sorted(map(str, P.decode_lines(spark, str(tmp_path)).collect())) == expect
+    rare = sum(r["text"].count("rare") for r in P.docs(spark, str(tmp_path)).collect())
+    assert len(moved) == 2 and all(0 < n <= rare for n in moved)
