@@ -11,14 +11,16 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusprep.functions.schedule import pad_amount
 from corpusprep.functions.text import is_blank, words
-from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
+from corpusprep.operators.lookup import BROADCAST_BYTES, UNBOUNDED, lookup_join
 from corpusprep.operators.order import ranged_index
+from corpusprep.session import stage
 
 # The special tokens come first in every vocabulary.
 UNK, EOS = "<unk>", "<eos>"
 UNK_ID, EOS_ID = 0, 1
 FIRST_ID = 2
 _ENTRY_BYTES = 64
+_HEAD_ROWS = 1 << 18  # of a vocabulary, sent at most: each executor hashes them by their text, in several times its size
 
 
 def append_eos(ids: Column, eos) -> Column:
@@ -79,14 +81,15 @@ def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | Non
 
     A vocabulary too large to broadcast is parted by id, which follows the
     count: nearly all rows find their token in its head, where they lie; only
-    the others are shuffled to the rest. With ``rare`` the caller knows that all
+    the others are staged and shuffled to the rest. The head is of one size
+    however large the vocabulary is. With ``rare`` the caller knows that all
     rows are such others.
     """
     table = vocab.select("token", F.col("id").alias("__id"))
     kept = [c for c in tokens.columns if c != "token"]
     is_eos = F.col("token") == eos
     known = F.when(is_eos, F.lit(EOS_ID)).otherwise(F.coalesce("__id", F.lit(UNK_ID))).alias("id")
-    most = BROADCAST_BYTES // _ENTRY_BYTES
+    most = min(BROADCAST_BYTES // _ENTRY_BYTES, _HEAD_ROWS)
     if (table.limit(most + 1).count() if bound is None else bound) <= most:
         return tokens.join(F.broadcast(table), "token", "left").select(*kept, known)
     if rare:
@@ -94,8 +97,9 @@ def to_ids(tokens: DataFrame, vocab: DataFrame, eos: str = EOS, bound: int | Non
     in_head = F.coalesce(F.col("__id").between(0, most - 1), F.lit(False))
     near = tokens.join(F.broadcast(table.filter(in_head)), "token", "left")
     found = F.col("__id").isNotNull() | F.coalesce(is_eos, F.lit(False))
-    left = None if bound is None else bound - most
-    away = lookup_join(near.filter(~found).drop("__id"), table.filter(~in_head), "token", bound=left)
+    # Read for their hot keys and for the join.
+    others = stage(near.filter(~found).drop("__id"), "rare_tokens")
+    away = lookup_join(others, table.filter(~in_head), "token", bound=UNBOUNDED)
     return near.filter(found).select(*kept, known).unionByName(away.select(*kept, known))
 
 

@@ -129,6 +129,30 @@ def test_only_rare_tokens_are_moved_to_a_large_vocabulary(spark, monkeypatch):
     assert parted.filter("id BETWEEN 1 AND 6").select(F.spark_partition_id()).distinct().count() == 1
 
 
+def test_a_head_of_one_size_is_sent_and_the_other_rows_are_made_once(spark, monkeypatch):
+    """The rows beyond the head are staged, so their hot keys and the join do not make all tokens again."""
+    from corpusprep.operators import tokens as T
+
+    word = F.when(F.col("i") % 5 == 0, "unseen").when(F.col("i") % 7 != 0, F.concat(F.lit("w"), F.col("i") % 90))
+    rows = spark.range(4000).selectExpr("id div 2 AS i")  # each row comes twice, some tokens are null
+    rows = rows.withColumn("token", F.when(F.col("i") % 9 == 0, "<eos>").otherwise(word)).localCheckpoint()
+    vocab = build_vocab(rows.filter("token LIKE 'w%'").groupBy("token").agg(F.count(F.lit(1)).alias("n"))).localCheckpoint()
+    expect = sorted(map(str, to_ids(rows, vocab).collect()))
+    moved, lookup = [], T.lookup_join
+
+    def seen(facts, *args, **named):
+        moved.append((facts.count(), facts._jdf.queryExecution().optimizedPlan().toString()))
+        return lookup(facts, *args, **named)
+
+    monkeypatch.setattr(T, "_HEAD_ROWS", 22, raising=False)  # ids 2 to 21
+    monkeypatch.setattr(T, "lookup_join", seen)
+    assert sorted(map(str, to_ids(rows, vocab).collect())) == expect
+    head = [r["token"] for r in vocab.filter("id < 22").collect()]
+    others = rows.filter(F.coalesce(~F.col("token").isin([*head, "<eos>"]), F.lit(True))).count()
+    assert [n for n, _ in moved] == [others] and 0 < others < 3000
+    assert "Join" not in moved[0][1]
+
+
 def test_recoding_by_any_cut_equals_the_whole_vocabulary(spark):
     words = [[f"w{(i * j) % 23}" for j in range(i % 9)] for i in range(120)]
     odd = [None, [], ["<eos>"], ["zzz"], [None], ["w1", None, "<eos>", "zzz", "w22", "w22", "zzz"]]
