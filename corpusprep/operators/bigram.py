@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusprep.functions.arrays import inputs_of, labels_of, search_sorted, stop_at_eos
 from corpusprep.functions.sampling import uniform
-from corpusprep.operators.lookup import BROADCAST_BYTES, lookup_join
+from corpusprep.operators.lookup import BROADCAST_BYTES, UNBOUNDED, lookup_join
 from corpusprep.operators.order import running
 from corpusprep.session import stage
 
@@ -20,11 +20,23 @@ FOLLOWER_BYTES = 40
 _KEY_BYTES = 64
 
 
-def pair_counts(df: DataFrame, ids: Column) -> DataFrame:
-    """``(prev, next, n)`` over all neighbouring tokens of a row."""
+def pair_counts(df: DataFrame, ids: Column, ends: bool = False) -> DataFrame:
+    """``(prev, next, n)`` over all neighbouring tokens of a row.
+
+    With ``ends`` the last token of a row with pairs comes with a null after
+    it too, which adds nothing to ``n``: every token is then a ``prev``, and
+    what only ends rows has ``n`` 0.
+    """
     rows = df.select(ids.alias("__ids"))
-    pairs = rows.select(F.inline(F.arrays_zip(inputs_of(F.col("__ids")), labels_of(F.col("__ids")))).alias("prev", "next"))
-    return pairs.groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
+    labels = labels_of(F.col("__ids"))
+    if not ends:
+        pairs = rows.select(F.inline(F.arrays_zip(inputs_of(F.col("__ids")), labels)).alias("prev", "next"))
+        return pairs.groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
+    # The shorter arrays end in nulls. A filter would make the tokens twice.
+    counted = F.array_repeat(F.lit(1), F.size("__ids") - 1)
+    zipped = F.when(F.size("__ids") > 1, F.arrays_zip("__ids", labels, counted))
+    pairs = rows.select(F.inline(zipped).alias("prev", "next", "counted"))
+    return pairs.groupBy("prev", "next").agg(F.count("counted").alias("n"))
 
 
 @dataclass
@@ -38,10 +50,11 @@ class Bigram:
 
 def fit_bigram(df: DataFrame, ids: Column) -> Bigram:
     """Add-one smoothed next-token model of the token rows."""
-    pairs = stage(pair_counts(df, ids), "pairs")
-    contexts = stage(pairs.groupBy("prev").agg(F.sum("n").alias("total")), "contexts")
-    tokens = pairs.select(F.explode(F.array("prev", "next")).alias("token")).distinct()
-    return Bigram(pairs, contexts, tokens.agg(F.count(F.lit(1))).scalar())
+    # Each token is a ``prev`` here: one pass over the pairs gives the totals and the tokens.
+    pairs = stage(pair_counts(df, ids, ends=True), "pairs")
+    tokens = stage(pairs.groupBy("prev").agg(F.sum("n").alias("total")), "contexts")
+    size = tokens.agg(F.count(F.lit(1))).scalar()
+    return Bigram(pairs.filter("n > 0"), tokens.filter("total > 0"), size)
 
 
 def bigram_table(model: Bigram) -> DataFrame:
@@ -54,12 +67,15 @@ def bigram_table(model: Bigram) -> DataFrame:
 def score_bigram(df: DataFrame, ids: Column, model: Bigram) -> DataFrame:
     """Token count, mean loss and perplexity of held-out token rows, one row.
 
-    Held-out pairs are counted first, so the joins see each pair once.
+    Held-out pairs are counted first, so the first join sees each pair once.
+    Pairs that share their first token and their count have one loss, so the
+    second join sees each count once. The counts of a token are different
+    numbers that add up to its total, so they are few and no token is hot.
     """
     held = pair_counts(df, ids).withColumnRenamed("n", "seen")
-    # Read for its hot keys and for the join.
-    known = stage(held.join(model.pairs, ["prev", "next"], "left"), "known")
-    placed = lookup_join(known, model.contexts, "prev")
+    met = held.join(model.pairs, ["prev", "next"], "left").groupBy("prev", "n").agg(F.sum("seen").alias("seen"))
+    known = stage(met, "known")
+    placed = lookup_join(known, model.contexts, "prev", bound=UNBOUNDED, skewed=False)
     prob = (F.coalesce("n", F.lit(0)) + 1) / (F.coalesce("total", F.lit(0)) + model.vocab_size)
     return (
         placed.withColumn("loss", -F.log(prob))

@@ -128,3 +128,47 @@ def test_contexts_and_known_pairs_are_worked_out_once(spark, tokens, monkeypatch
     assert "Aggregate" not in model.contexts._jdf.queryExecution().optimizedPlan().toString()
     assert B.score_bigram(tokens, F.col("ids"), model).first()["tokens"] == sum(counts(ROWS).values())
     assert staged == ["pairs", "contexts", "known"]
+
+
+def test_pairs_are_read_once_for_contexts_and_tokens_and_scored_by_their_counts(spark, monkeypatch):
+    """Null tokens, null, short and repeated rows; the lookup sees one row for each first token and count."""
+    odd = [None, [], ["a"], ["a", None, "b"], [None, "a"], ["z", None]]
+    train = [*odd, *[r.split() for r in ROWS], *[r.split() for r in ROWS]]
+    held = [*odd, *[["b", f"new{i}"] for i in range(30)], *[r.split() for r in ROWS[1:]], ["q", "a", "b"]]
+    tables, keep = {}, B.stage
+
+    def kept(df, label="stage"):
+        tables[label] = keep(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(B, "stage", kept)
+
+    def rows(lists):
+        return spark.createDataFrame([(i // 2, r) for i, r in enumerate(lists)], "k int, ids array<string>")
+
+    def pairs(lists):
+        return Counter(p for r in lists for p in zip(r or [], (r or [])[1:]))
+
+    model = B.fit_bigram(rows(train), F.col("ids"))
+    n, context = pairs(train), Counter()
+    for (a, _), c in n.items():
+        context[a] += c
+    assert {(r["prev"], r["next"]): r["n"] for r in model.pairs.collect()} == n
+    assert {r["prev"]: r["total"] for r in model.contexts.collect()} == context
+    sized = spark.range(1).select(model.vocab_size.alias("v"))
+    size = len({t for p in n for t in p})
+    assert sized.first()["v"] == size
+    # The table of totals has a row for each token, those without a total among them.
+    assert tables["contexts"].count() == size > len(context)
+    assert sized._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+
+    row = B.score_bigram(rows(held), F.col("ids"), model).first()
+    seen = pairs(held)
+    # A null matches nothing.
+    found = {p: n[p] if None not in p else 0 for p in seen}
+    total = {p: context[p[0]] if p[0] is not None else 0 for p in seen}
+    loss = sum(c * -math.log((found[p] + 1) / (total[p] + size)) for p, c in seen.items()) / sum(seen.values())
+    assert row["tokens"] == sum(seen.values()) and row["loss"] == pytest.approx(loss, abs=1e-12)
+    assert tables["known"].count() == len({(p[0], found[p]) for p in seen}) < len(seen)
+    none = B.score_bigram(rows([]), F.col("ids"), B.fit_bigram(rows([["a", "b"]]), F.col("ids"))).first()
+    assert none["tokens"] is None and none["loss"] is None
