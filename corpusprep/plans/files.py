@@ -53,12 +53,15 @@ def packed_files(spark, sf):
     """Packed sequences in batches, written by split and shard, and the training part read back."""
     path = stage_path(spark, "sink")
     rows = read_table(spark, sf, "documents").select("doc_id", "text")
+    # Tokens are made once, ahead of the shuffle that the packer reads several times. None holds a blank or is empty.
+    tokens = rows.select("doc_id", joined(text_tokens(F.col("text"))).alias("tokens"))
+    packed = pack(tokens, ["doc_id"], F.array_remove(F.split("tokens", " "), ""), SEQ_LEN)
     # Counting, planning and writing read the sequences; they are packed once.
-    packed = stage(pack(rows, ["doc_id"], text_tokens(F.col("text")), SEQ_LEN), "packed")
+    packed = stage(packed.select("seq_id", joined(F.col("ids")).alias("ids")), "packed")
     batched = batch_at(packed, "seq_id", BATCH)
     split = F.when(F.col("batch_id") % 10 < 9, "train").otherwise("val")
     sharded = assign_shards(batched, BATCH, SHARDS).withColumn("split", split)
-    write_packed(sharded, path, target_bytes=1 << 20)
+    write_packed(sharded, path, target_bytes=1 << 20, unpack=F.split("ids", " "))
     kept = read_packed(spark, path).filter("split = 'train'")
     return kept.select("seq_id", F.col("shard_id").cast("int").alias("shard_id"), joined(F.col("ids")).alias("tokens"))
 

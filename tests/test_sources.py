@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 from pathlib import Path
 
 import pyarrow as pa
@@ -360,3 +361,47 @@ def test_sequences_are_packed_once_for_counting_planning_and_writing(spark, sf,
     monkeypatch.setattr(files, "write_packed", lambda df, *a, **b: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write_packed(df, *a, **b))
     files.packed_files(spark, sf).count()
     assert "documents" not in plans[0] and "Generate" not in plans[0]
+
+
+def test_packed_files_make_tokens_once_and_move_them_as_text(spark, sf, tmp_path, monkeypatch):
+    """Null, empty, blank and repeated rows; the texts are tokenized below the shuffle that the packer reads."""
+    from corpusprep.plans import files
+    from test_plans import final_plan
+
+    texts = [None, "", " \n\t\n", "!!\n", "One two, THREE\nfour\n\nfive", "é x\u2003y <eos> \u212a"]
+    rows = [(i, texts[i % len(texts)]) for i in range(600)]
+    rows = [*rows, *rows[:80], (None, "null id"), (None, "null id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    flat = []
+    for _, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        for line in (text or "").split("\n"):
+            if line.strip():
+                flat += [*re.findall("[a-z0-9]+", line.lower()), "<eos>"]
+    size, batch = files.SEQ_LEN, files.BATCH
+    sequences = [flat[i : i + size] for i in range(0, len(flat) - size + 1, size)]
+    kept = [i for i in range(len(sequences) // batch * batch) if i // batch % 10 < 9]
+
+    plans, moved, keep = [], [], files.stage
+    monkeypatch.setattr(files, "stage", lambda df, label: plans.append(final_plan(df)) or keep(df, label))
+    monkeypatch.setattr(files, "write_packed", lambda df, path, *a, **b: moved.append((df, path)) or write_packed(df, path, *a, **b))
+    got = files.packed_files(spark, str(tmp_path))
+    shard = batch // files.SHARDS
+    assert sorted(map(tuple, got.collect())) == [(i, i % batch // shard, " ".join(sequences[i])) for i in kept] != []
+    assert plans[0].count("regexp_extract_all") == 1
+    df, path = moved[0]
+    assert df.schema["ids"].dataType.simpleString() == "string"
+    back = read_packed(spark, path)
+    assert back.schema["ids"].dataType.simpleString() == "array<string>" and set(back.columns) == set(df.columns)
+    assert back.filter(F.size("ids") != size).count() == 0
+
+
+def test_ids_moved_as_text_give_the_same_files(spark, tmp_path):
+    words = F.transform(F.sequence(F.lit(1), F.col("id") % 7 + 1), lambda i: F.concat(F.lit("w"), (i * i).cast("string")))
+    df = spark.range(3000).select(F.col("id").alias("seq_id"), words.alias("ids"), F.lit("train").alias("split"), (F.col("id") % 3).alias("shard_id"))
+    text = df.withColumn("ids", F.array_join("ids", " "))
+    write_packed(df, str(tmp_path / "a"), target_bytes=5000)
+    write_packed(text, str(tmp_path / "b"), target_bytes=5000, unpack=F.split("ids", " "))
+    write_packed(text.limit(0), str(tmp_path / "c"), unpack=F.split("ids", " "))
+    a, b = (sorted(str(pq.ParquetFile(f).read().to_pylist()) for f in (tmp_path / x).rglob("*.parquet")) for x in "ab")
+    assert a == b and len(a) > 3
